@@ -299,7 +299,8 @@ def json_or_scalar(spark, sf_dir):
 @register("rename_project", q.with_sales(select=f"""
 SELECT {", ".join(PLAIN_SALES)}, longitude, latitude FROM sales"""))
 def rename_project(spark, sf_dir):
-    typed = transform.to_sales(staged.raw_documents(spark, sf_dir))
+    typed = transform.to_sales(
+        landing.scan_documents(spark, staged.landing_folder(spark, sf_dir)))
     location = F.col("store_location")
     return typed.select(
         *PLAIN_SALES, variant.longitude_of(location).alias("longitude"),
@@ -673,7 +674,7 @@ SELECT store_number, store_name, address, city, zip_code, county, county_number,
 def win_latest_per_key(spark, sf_dir):
     latest = stores.latest_per_store(_store_sales(spark, sf_dir))
     return latest.withColumn(
-        "longitude", variant.longitude_of(F.col("store_location"))).drop("store_location")
+        "longitude", variant.longitude_of(F.col("store_location"))).drop("store_location", KEY)
 
 
 @register("win_rolling_rows", q.with_sales(q.MONTHLY, select="""

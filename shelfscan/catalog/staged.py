@@ -28,14 +28,6 @@ def _once(spark: SparkSession, sf_dir: str, label: str, make):
     return _made[place]
 
 
-def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The landing documents as variant rows, without a trip through files."""
-    documents = testdata.documents(spark, sf_dir)
-    return documents.select(
-        F.try_parse_json(F.to_json(F.struct(*documents.columns))).alias("raw"),
-        F.lit("memory").alias("file_name"), F.localtimestamp().alias("load_ts"))
-
-
 def landing_folder(spark: SparkSession, sf_dir: str) -> str:
     """All documents as paged landing files."""
     def make() -> str:

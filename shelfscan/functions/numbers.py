@@ -32,8 +32,8 @@ def ratio(numerator: Column, denominator: Column) -> Column:
 def whole_number(text: Column, strict: bool = True) -> Column:
     """Text to INT, rounding text such as ``12.6``. ``strict=False`` gives NULL for bad text."""
     if strict:
-        return F.round(text.cast("decimal(38,6)"), 0).cast("int")
-    return F.round(text.try_cast("decimal(38,6)"), 0).try_cast("int")
+        return F.round(text.cast("decimal(38,18)"), 0).cast("int")
+    return F.round(text.try_cast("decimal(38,18)"), 0).try_cast("int")
 
 
 def real_number(text: Column, strict: bool = True) -> Column:

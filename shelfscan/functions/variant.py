@@ -16,8 +16,8 @@ def json_or_scalar(text: Column) -> Column:
 
     JSON null becomes SQL NULL, so that ``IS NOT NULL`` means "has a value".
     """
-    parsed = F.coalesce(F.try_parse_json(text), text.cast("variant"))
-    return F.when(~F.coalesce(F.is_variant_null(parsed), F.lit(True)), parsed)
+    value = F.coalesce(F.try_parse_json(text), text.cast("variant"))
+    return F.when(F.trim(text) != "null", value)
 
 
 def point(longitude: Column, latitude: Column) -> Column:

@@ -10,8 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,20 +36,22 @@ def _folder_name(month: Month) -> str:
     return f"sale_year={year}/sale_month={number}"
 
 
+def month_number() -> Column:
+    return F.col("sale_year") * 100 + F.col("sale_month")
+
+
 def month_predicate(months: Sequence[Month]) -> Column:
     """Predicate on the partition columns alone, so that it prunes folders."""
-    picked = [
-        F.col("sale_year").eqNullSafe(F.lit(y).cast("int"))
-        & F.col("sale_month").eqNullSafe(F.lit(m).cast("int"))
-        for y, m in months
-    ]
-    return reduce(or_, picked, F.lit(False))
+    known = sorted(y * 100 + m for y, m in months if y is not None and m is not None)
+    picked = month_number().isin(known) if known else F.lit(False)
+    if len(known) < len(months):
+        picked = picked | month_number().isNull()
+    return F.coalesce(picked, F.lit(False))
 
 
 def month_range(low: date, high: date) -> Column:
     """Partition predicate that goes with a date range; Spark does not derive it."""
-    number = F.col("sale_year") * 100 + F.col("sale_month")
-    return number.between(low.year * 100 + low.month, high.year * 100 + high.month)
+    return month_number().between(low.year * 100 + low.month, high.year * 100 + high.month)
 
 
 class MonthTable:
@@ -112,7 +112,10 @@ class MonthTable:
     # ------------------------------------------------------------ writing
 
     def replace_months(self, rows: DataFrame, months: Sequence[Month], tag: str | None = None) -> int:
-        """Make ``rows`` the whole content of ``months``; other months are kept by reference."""
+        """Make ``rows`` the whole content of ``months``; other months are kept by reference.
+
+        Returns the number of rows written.
+        """
         before = self.month_list()
         version = self.version() + 1
         data = f"{self.root}/data/v={version}"
@@ -140,49 +143,51 @@ class MonthTable:
             self.spark.createDataFrame(listed, SNAPSHOTS).coalesce(1)
             .write.mode("append").json(f"{self.root}/snapshots")
         )
-        return version
+        return sum(row["count"] for row in written)
 
-    def upsert(self, source: DataFrame, tag: str | None = None) -> int:
+    def upsert(self, source: DataFrame, tag: str | None = None, may_move: bool = True) -> int:
         """Merge a source with unique keys; returns its row count.
 
         Touched months are those of the source rows and those that hold an old row of a
         source key, because a corrected date moves a row to another month. The search for
-        old rows reads the key column only. ``tag`` names the change; a change whose tag is
+        old rows reads the key column of all months; ``may_move=False`` leaves it out where
+        a key never changes its month. ``tag`` names the change; a change whose tag is
         already there is not applied again.
         """
         if tag is not None and self.has_tag(tag):
             return 0
+        if not self.month_list():
+            return self.replace_months(source, [], tag)
         source = source.persist()
         try:
-            count = source.count()
-            if count == 0:
+            own = source.groupBy("sale_year", "sale_month").count().collect()
+            if not own:
                 return 0
             target = self.read()
-            keys = source.select(self.key).where(F.col(self.key).isNotNull())
-            old = (
-                target.where(F.col(self.key).isNotNull())
-                .select(self.key, "sale_year", "sale_month")
-                .join(keys, self.key, "left_semi")
-            )
-            touched = [
-                (row.sale_year, row.sale_month)
-                for row in source.select("sale_year", "sale_month")
-                .unionByName(old.select("sale_year", "sale_month")).distinct().collect()
-            ]
-            merged = merge_upsert(target.where(month_predicate(touched)), source, self.key)
-            self.replace_months(merged, touched, tag)
-            return count
+            touched = {(row.sale_year, row.sale_month) for row in own}
+            if may_move:
+                keys = source.select(self.key).where(F.col(self.key).isNotNull())
+                old = (
+                    target.where(F.col(self.key).isNotNull())
+                    .select(self.key, "sale_year", "sale_month")
+                    .join(keys, self.key, "left_semi")
+                    .select("sale_year", "sale_month").distinct()
+                )
+                touched |= {(row.sale_year, row.sale_month) for row in old.collect()}
+            merged = merge_upsert(target.where(month_predicate(list(touched))), source, self.key)
+            self.replace_months(merged, list(touched), tag)
+            return sum(row["count"] for row in own)
         finally:
             source.unpersist()
 
     def delete_between(self, low: date, high: date) -> int:
-        """Delete a date range, rewriting only the stored months it covers."""
+        """Delete a date range, rewriting only the stored months it covers; returns the rows kept."""
         months = [
             (row.sale_year, row.sale_month) for row in self.month_list()
             if row.sale_year is not None
             and (low.year, low.month) <= (row.sale_year, row.sale_month) <= (high.year, high.month)
         ]
         if not months:
-            return self.version()
+            return 0
         kept = delete_range(self.read().where(month_predicate(months)), low, high)
         return self.replace_months(kept, months)

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfscan.functions.variant import latitude_of, longitude_of, point
-from shelfscan.operators.keyed import first_per_key, sortable
+from shelfscan.operators.keyed import first_per_key
+from shelfscan.schemas import KEY
 
 STATE = "IA"
 
@@ -23,17 +24,20 @@ MAX_LISTED_CORRECTIONS = 10_000
 
 SOURCE_COLUMNS = [
     "store_number", "store_name", "address", "city", "zip_code", "county",
-    "county_number", "store_location", "sale_date",
+    "county_number", "store_location", "sale_date", KEY,
 ]
 
 
 def latest_per_store(sales: DataFrame) -> DataFrame:
-    """One row per store: located rows first, then the newest sale date (unknown dates lead)."""
+    """One row per store: located rows first, then the newest sale date (unknown dates lead).
+
+    The invoice key breaks ties, and the plain columns do where it is missing.
+    """
     located_first = F.when(F.col("store_location").isNotNull(), 0).otherwise(1)
-    ties = [name for name in SOURCE_COLUMNS if name not in ("store_number", "sale_date")]
-    rows = sales.select(*SOURCE_COLUMNS)
-    return first_per_key(rows, ["store_number"], [
-        located_first, F.col("sale_date").desc_nulls_first(), *sortable(rows, ties)])
+    ties = [name for name in SOURCE_COLUMNS
+            if name not in ("store_number", "sale_date", "store_location", KEY)]
+    return first_per_key(sales.select(*SOURCE_COLUMNS), ["store_number"], [
+        located_first, F.col("sale_date").desc_nulls_first(), F.col(KEY), *map(F.col, ties)])
 
 
 def corrections_frame(spark: SparkSession, listed: Sequence[tuple[int, float, float]]) -> DataFrame:

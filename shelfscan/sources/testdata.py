@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfscan.functions.text import product_family
-from shelfscan.functions.variant import json_or_scalar
+from shelfscan.functions.variant import point
 from shelfscan.schemas import KEY, LANDING_KEYS, SALES
 
 AS_OF = date(2001, 8, 15)
@@ -54,12 +54,15 @@ def _expressions() -> dict[str, Column]:
                    F.pmod(c("l_partkey"), F.lit(4)).cast("int"))
     liters = c("l_quantity") * volume / F.lit(1000.0)
     day = c("o_orderdate").cast("date")
-    point = F.concat(
+    text = F.concat(
         F.lit('{"type":"Point","coordinates":[-'),
         (store % 6 + 90).cast("string"), F.lit("."), (store % 10).cast("string"), F.lit(","),
         (store % 4 + 40).cast("string"), F.lit("."), (store % 9 + 1).cast("string"),
         F.lit("]}"))
-    location_json = F.when(store % 10 != 0, point)
+    located = store % 10 != 0
+    longitude = F.when(located, -((store % 6 + 90) * 10 + store % 10) / 10)
+    latitude = F.when(located, ((store % 4 + 40) * 10 + store % 9 + 1) / 10)
+    location_json = F.when(located, text)
     return {
         KEY: F.concat(F.lit("INV-"), F.lpad(c("l_orderkey").cast("string"), 8, "0"),
                       F.lpad(c("l_linenumber").cast("string"), 3, "0")),
@@ -71,7 +74,7 @@ def _expressions() -> dict[str, Column]:
         "address": F.concat(c("l_suppkey").cast("string"), F.lit(" MAIN ST")),
         "city": c("n_name"),
         "zip_code": (c("l_suppkey") + 50000).cast("string"),
-        "store_location": json_or_scalar(location_json),
+        "store_location": point(longitude, latitude),
         "store_location_json": location_json,
         "county_number": c("n_nationkey").cast("int"),
         "county": c("n_name"),
