@@ -9,12 +9,13 @@ overwrites files it reads. One writer at a time.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfscan.functions.dates import shift_months
 from shelfscan.operators.upsert import delete_range, merge_upsert
 from shelfscan.schemas import KEY, SALES
 from shelfscan.session import path_exists
@@ -109,6 +110,17 @@ class MonthTable:
         newest = max(dated, key=lambda row: (row.sale_year, row.sale_month))
         return self._read([newest]).agg(F.max("sale_date")).first()[0]
 
+    def span(self) -> tuple[date, date] | None:
+        """First and last day of the stored months, from the snapshot list alone."""
+        stored = sorted(
+            (row.sale_year, row.sale_month) for row in self.month_list()
+            if row.sale_year is not None and row.rows)
+        if not stored:
+            return None
+        (first_year, first_month), (last_year, last_month) = stored[0], stored[-1]
+        after = shift_months(date(last_year, last_month, 1), 1)
+        return date(first_year, first_month, 1), after - timedelta(days=1)
+
     # ------------------------------------------------------------ writing
 
     def replace_months(self, rows: DataFrame, months: Sequence[Month], tag: str | None = None) -> int:

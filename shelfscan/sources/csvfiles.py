@@ -11,16 +11,19 @@ from shelfscan.schemas import CALENDAR, SALES
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
-    """Headed CSV read by position into a schema; records that do not fit are skipped."""
-    return (
+    """Headed CSV read by position into a schema; records that do not fit are skipped.
+
+    The reader only notices a bad value in a column it has to read, so the always-true
+    condition on all columns makes a record good or bad whatever columns a query asks for.
+    """
+    rows = (
         spark.read.schema(schema)
         .option("header", True).option("enforceSchema", True)
         .option("quote", '"').option("escape", '"')
         .option("multiLine", multi_line).option("mode", "DROPMALFORMED")
-        # a record is bad or good whatever columns a query reads
-        .option("columnPruning", False)
         .csv(path)
     )
+    return rows.where(F.hash(*schema.fieldNames()).bitwiseOR(F.lit(1)) != 0)
 
 
 def read_calendar_csv(spark: SparkSession, path: str) -> DataFrame:
