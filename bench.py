@@ -100,7 +100,7 @@ def main() -> None:
     start_day = date(1998, 1, 1)
     on_table = {
         "ttm_sales_by_category": (
-            lambda: reports.ttm_sales_by_category(table.read(), anchor=table.last_date()),
+            lambda: reports.ttm_sales_by_category(facts, anchor=table.last_date()),
             lambda: literal_category(spark, facts)),
         "daily_ma_trend": (
             lambda: reports.daily_trend(facts, visible_start=start_day),

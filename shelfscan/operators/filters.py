@@ -34,17 +34,30 @@ def between_dates(rows: DataFrame, low: date, high: date, day: str = DAY) -> Dat
     return in_periods(rows, (low, high), day=day)
 
 
+def on_dates(rows: DataFrame, low: date, high: date, day: str = DAY) -> DataFrame:
+    """Rows with ``low <= day <= high``, with the month-folder predicate where there is one."""
+    kept = rows.where(F.col(day).between(F.lit(low), F.lit(high)))
+    return kept.where(_months(low, high)) if _has_months(rows, day) else kept
+
+
+def _has_months(rows: DataFrame, day: str) -> bool:
+    return day == DAY and {"sale_year", "sale_month"} <= set(rows.columns)
+
+
+def _months(low: date, high: date) -> Column:
+    """Predicate on the partition columns that goes with a date range; Spark derives none."""
+    number = F.col("sale_year") * 100 + F.col("sale_month")
+    return number.between(low.year * 100 + low.month, high.year * 100 + high.month)
+
+
 def in_periods(rows: DataFrame, *periods: tuple[date, date], day: str = DAY) -> DataFrame:
     """Rows in any of the half-open periods."""
-    by_month = day == DAY and {"sale_year", "sale_month"} <= set(rows.columns)
+    by_month = _has_months(rows, day)
     tests = []
     for low, high in periods:
         test = (F.col(day) >= F.lit(low)) & (F.col(day) < F.lit(high))
         if by_month:
-            number = F.col("sale_year") * 100 + F.col("sale_month")
-            last = date.fromordinal(high.toordinal() - 1)
-            test = test & number.between(
-                low.year * 100 + low.month, last.year * 100 + last.month)
+            test = test & _months(low, date.fromordinal(high.toordinal() - 1))
         tests.append(test)
     return rows.where(reduce(or_, tests))
 

@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfscan.functions.dates import shift_months
+from shelfscan.operators.filters import on_dates
 from shelfscan.operators.upsert import delete_range, merge_upsert
 from shelfscan.schemas import KEY, SALES
-from shelfscan.session import path_exists
+from shelfscan.session import empty_frame, path_exists
 
 Month = tuple[int | None, int | None]
 
@@ -37,24 +38,16 @@ def _folder_name(month: Month) -> str:
     return f"sale_year={year}/sale_month={number}"
 
 
-def month_number() -> Column:
-    return F.col("sale_year") * 100 + F.col("sale_month")
-
-
 def month_predicate(months: Sequence[Month]) -> Column:
     """Predicate on the partition columns alone, so that it prunes folders."""
     known = sorted(y * 100 + m for y, m in months if y is not None and m is not None)
-    picked = month_number().isin(known) if known else F.lit(False)
+    number = F.col("sale_year") * 100 + F.col("sale_month")
+    picked = number.isin(known) if known else F.lit(False)
     if len(known) < len(months):
-        picked = picked | month_number().isNull()
+        picked = picked | number.isNull()
     return F.coalesce(picked, F.lit(False))
 
 
-def month_range(low: date, high: date) -> Column:
-    """Partition predicate that goes with a date range; Spark does not derive it."""
-    return month_number().between(low.year * 100 + low.month, high.year * 100 + high.month)
-
-
 class MonthTable:
     def __init__(self, spark: SparkSession, root: str, key: str = KEY):
         self.spark = spark
@@ -67,18 +60,24 @@ class MonthTable:
         """All snapshot lists: one row per version and month, plus one row per version."""
         path = f"{self.root}/snapshots"
         if not path_exists(self.spark, path):
-            return self.spark.createDataFrame([], SNAPSHOTS)
+            return empty_frame(self.spark, SNAPSHOTS)
         return self.spark.read.schema(SNAPSHOTS).json(path)
 
+    def _current(self) -> tuple[int, list]:
+        """Number and months of the current snapshot; the months are bounded by the calendar."""
+        snapshots = self.snapshots()
+        newest = snapshots.agg(F.max("version")).scalar()
+        rows = snapshots.where(F.col("version") == newest).collect()
+        version = rows[0].version if rows else 0
+        return version, [row for row in rows if row.folder is not None]
+
     def version(self) -> int:
         """Number of the current snapshot, 0 before the first write."""
-        return self.snapshots().agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
+        return self._current()[0]
 
     def month_list(self) -> list:
-        """Months of the current snapshot; their number is bounded by the calendar."""
-        snapshots = self.snapshots()
-        current = snapshots.agg(F.max("version")).scalar()
-        return snapshots.where((F.col("version") == current) & F.col("folder").isNotNull()).collect()
+        """Months of the current snapshot with their row counts and folders."""
+        return self._current()[1]
 
     def has_tag(self, tag: str) -> bool:
         return not self.snapshots().where(F.col("tag") == tag).isEmpty()
@@ -87,7 +86,7 @@ class MonthTable:
 
     def _read(self, months: Sequence) -> DataFrame:
         if not months:
-            return self.spark.createDataFrame([], SALES)
+            return empty_frame(self.spark, SALES)
         paths = [f"{self.root}/{row.folder}" for row in months]
         return (
             self.spark.read.schema(SALES).option("basePath", f"{self.root}/data")
@@ -99,8 +98,7 @@ class MonthTable:
 
     def read_between(self, low: date, high: date) -> DataFrame:
         """Rows of a date range with the partition predicate next to the date bounds."""
-        return self.read().where(
-            month_range(low, high) & F.col("sale_date").between(F.lit(low), F.lit(high)))
+        return on_dates(self.read(), low, high)
 
     def last_date(self) -> date | None:
         """MAX(sale_date), read from the newest month only."""
@@ -128,8 +126,8 @@ class MonthTable:
 
         Returns the number of rows written.
         """
-        before = self.month_list()
-        version = self.version() + 1
+        version, before = self._current()
+        version += 1
         data = f"{self.root}/data/v={version}"
         (
             # even file sizes: large months are split, small ones share a task
@@ -168,14 +166,15 @@ class MonthTable:
         """
         if tag is not None and self.has_tag(tag):
             return 0
-        if not self.month_list():
+        months = self.month_list()
+        if not months:
             return self.replace_months(source, [], tag)
         source = source.persist()
         try:
             own = source.groupBy("sale_year", "sale_month").count().collect()
             if not own:
                 return 0
-            target = self.read()
+            target = self._read(months)
             touched = {(row.sale_year, row.sale_month) for row in own}
             if may_move:
                 keys = source.select(self.key).where(F.col(self.key).isNotNull())
@@ -194,12 +193,11 @@ class MonthTable:
 
     def delete_between(self, low: date, high: date) -> int:
         """Delete a date range, rewriting only the stored months it covers; returns the rows kept."""
-        months = [
-            (row.sale_year, row.sale_month) for row in self.month_list()
-            if row.sale_year is not None
+        stored = [
+            row for row in self.month_list() if row.sale_year is not None
             and (low.year, low.month) <= (row.sale_year, row.sale_month) <= (high.year, high.month)
         ]
-        if not months:
+        if not stored:
             return 0
-        kept = delete_range(self.read().where(month_predicate(months)), low, high)
-        return self.replace_months(kept, months)
+        kept = delete_range(self._read(stored), low, high)
+        return self.replace_months(kept, [(row.sale_year, row.sale_month) for row in stored])

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfscan.schemas import CALENDAR
+from shelfscan.session import empty_frame
 
 SUNDAY, MONDAY, THURSDAY, FRIDAY, SATURDAY = 1, 2, 5, 6, 7
 
@@ -95,5 +96,5 @@ def calendar_of(sales: DataFrame, day: str = "sale_date") -> DataFrame:
     """Calendar of whole years around the dates of a relation."""
     first, last = sales.agg(F.min(day), F.max(day)).first()
     if first is None:
-        return sales.sparkSession.createDataFrame([], CALENDAR)
+        return empty_frame(sales.sparkSession, CALENDAR)
     return build_calendar(sales.sparkSession, date(first.year, 1, 1), date(last.year, 12, 31))

@@ -15,14 +15,11 @@ from pyspark.sql import functions as F
 from shelfscan.functions.dates import first_of_month, month_start, shift_months, today_or
 from shelfscan.functions.numbers import exact_sum
 from shelfscan.functions.text import dollars, title_case
-from shelfscan.operators.filters import between_dates, trailing_year
+from shelfscan.operators.filters import between_dates, on_dates, trailing_year
 from shelfscan.operators.rolling import (
     rolling_mean_days, rolling_mean_rows, totals_by, with_trend,
 )
 
-SALES_SUM = exact_sum
-
-
 def whole(amount: Column) -> Column:
     """Rounded to whole units, half away from zero, as DOUBLE."""
     return F.round(amount, 0).cast("double")
@@ -31,14 +28,14 @@ def whole(amount: Column) -> Column:
 def ttm_sales(sales: DataFrame, anchor: date | None = None) -> DataFrame:
     """Trailing-twelve-month sales as dollar text."""
     kept = trailing_year(sales, anchor=anchor)
-    return kept.agg(dollars(SALES_SUM(F.col("sale_dollars"))).alias("ttm_sales"))
+    return kept.agg(dollars(exact_sum(F.col("sale_dollars"))).alias("ttm_sales"))
 
 
 def _ttm_by(sales: DataFrame, column: str, name: str, anchor: date | None) -> DataFrame:
     # the title-cased name can merge groups, so it is made from the group names and the
     # groups are summed once more
     groups = trailing_year(sales, anchor=anchor).groupBy(column).agg(
-        SALES_SUM(F.col("sale_dollars")).alias("_sales"))
+        exact_sum(F.col("sale_dollars")).alias("_sales"))
     return groups.groupBy(title_case(F.col(column)).alias(name)).agg(
         whole(F.sum("_sales")).alias("ttm_sales"))
 
@@ -67,7 +64,7 @@ def monthly_sales(
     start = shift_months(end, -months)
     kept = between_dates(sales, shift_months(start, 1 - frame), shift_months(end, 1))
     totals = totals_by(kept, month_start(F.col("sale_date")), "month",
-                       _sales=SALES_SUM(F.col("sale_dollars")))
+                       _sales=exact_sum(F.col("sale_dollars")))
     means = rolling_mean_rows(totals, "_sales", "month", frame, "_mean")
     return means.where(F.col("month").between(F.lit(start), F.lit(end))).select(
         F.col("month").alias("sale_date"),
@@ -78,7 +75,7 @@ def monthly_sales(
 
 def daily_totals(sales: DataFrame) -> DataFrame:
     return totals_by(sales, F.col("sale_date"), "sale_date",
-                     sale_dollars=SALES_SUM(F.col("sale_dollars")))
+                     sale_dollars=exact_sum(F.col("sale_dollars")))
 
 
 def daily_trend(
@@ -94,7 +91,7 @@ def daily_trend(
     the first of them.
     """
     scan_start = date.fromordinal(visible_start.toordinal() - window_days + 1)
-    kept = sales.where(F.col("sale_date").between(F.lit(scan_start), F.lit(visible_end)))
+    kept = on_dates(sales, scan_start, visible_end)
     means = mean(daily_totals(kept), "sale_dollars", "sale_date", window_days, "moving_avg")
     visible = means.where(
         F.col("moving_avg").isNotNull()

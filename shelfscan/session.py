@@ -6,7 +6,9 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -61,3 +63,8 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
 def path_exists(spark: SparkSession, path: str) -> bool:
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
+def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    return spark.range(0).select(*[
+        F.lit(None).cast(field.dataType).alias(field.name) for field in schema.fields])

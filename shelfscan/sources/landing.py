@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfscan.schemas import FILE_LEDGER, RAW
-from shelfscan.session import path_exists
+from shelfscan.session import empty_frame, path_exists
 
 PAGE_SIZE = 50_000
 DOCUMENT_FILES = "*.json*"
@@ -197,7 +197,7 @@ def not_loaded(files: DataFrame, ledger: DataFrame) -> DataFrame:
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """The ledger so far; empty before the first load."""
     if not path_exists(spark, path):
-        return spark.createDataFrame([], FILE_LEDGER)
+        return empty_frame(spark, FILE_LEDGER)
     return spark.read.schema(FILE_LEDGER).parquet(path)
 
 
