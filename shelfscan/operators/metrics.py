@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfscan.functions.numbers import VOLUME_SCALE, exact, ratio
+from shelfscan.functions.numbers import MONEY_SCALE, VOLUME_SCALE, exact_sum, ratio
 
 
 def _margin() -> Column:
@@ -19,16 +19,25 @@ def _margin() -> Column:
     return F.col("sale_dollars") - F.col("state_bottle_cost") * F.col("bottles_sold")
 
 
-# part name -> value of one sales line
-PARTS: dict[str, Callable[[], Column]] = {
-    "sales": lambda: exact(F.col("sale_dollars")),
-    "bottles": lambda: F.col("bottles_sold").cast("bigint"),
-    "liters": lambda: exact(F.col("volume_sold_liters"), VOLUME_SCALE),
-    "gallons": lambda: exact(F.col("volume_sold_gallons"), VOLUME_SCALE),
-    "cost": lambda: exact(F.col("state_bottle_cost") * F.col("bottles_sold")),
-    "margin": lambda: exact(_margin()),
+# part name -> value of one sales line and its decimals (None for whole numbers)
+PARTS: dict[str, tuple[Callable[[], Column], int | None]] = {
+    "sales": (lambda: F.col("sale_dollars"), MONEY_SCALE),
+    "bottles": (lambda: F.col("bottles_sold").cast("bigint"), None),
+    "liters": (lambda: F.col("volume_sold_liters"), VOLUME_SCALE),
+    "gallons": (lambda: F.col("volume_sold_gallons"), VOLUME_SCALE),
+    "cost": (lambda: F.col("state_bottle_cost") * F.col("bottles_sold"), MONEY_SCALE),
+    "margin": (_margin, MONEY_SCALE),
 }
 
+
+def sum_part(part: str, when: Column | None = None) -> Column:
+    """Exact sum of a part over sales lines, or over those of them that meet a condition."""
+    value, scale = PARTS[part]
+    if scale is None:
+        return F.sum(value() if when is None else F.when(when, value()))
+    return exact_sum(value(), scale, when)
+
+
 PART_COLUMNS: dict[str, set[str]] = {
     "sales": {"sale_dollars"},
     "bottles": {"bottles_sold"},
@@ -83,7 +92,7 @@ def parts_of(metrics: Sequence[Metric]) -> list[str]:
 
 def sum_parts(rows: DataFrame, parts: Sequence[str], *by: Column | str) -> DataFrame:
     """Sum the parts of sales lines; part columns are named ``_part``."""
-    return rows.groupBy(*by).agg(*[F.sum(PARTS[part]()).alias(f"_{part}") for part in parts])
+    return rows.groupBy(*by).agg(*[sum_part(part).alias(f"_{part}") for part in parts])
 
 
 def add_parts(totals: DataFrame, parts: Sequence[str], *by: Column | str) -> DataFrame:

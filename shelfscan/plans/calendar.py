@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from shelfscan.schemas import CALENDAR
 from shelfscan.session import empty_frame
 
-SUNDAY, MONDAY, THURSDAY, FRIDAY, SATURDAY = 1, 2, 5, 6, 7
+# dayofweek() counts from Sunday = 1
+MONDAY, THURSDAY, FRIDAY, SATURDAY = 2, 5, 6, 7
 
 # Holidays on a day of the month: name, month, day, first year.
 FIXED_HOLIDAYS = [
@@ -32,55 +33,52 @@ FLOATING_HOLIDAYS = [
 ]
 
 
-def _is_fixed(day: Column, month: int, number: int, since: int) -> Column:
-    return (F.month(day) == month) & (F.dayofmonth(day) == number) & (F.year(day) >= since)
-
-
-def us_holiday(day: Column) -> Column:
-    """Name of the US holiday on a day, or NULL.
+def us_holiday(day: str) -> Column:
+    """Name of the US holiday on a day (a column name), or NULL.
 
     A fixed holiday on a weekend is also observed on the next Monday or the Friday before.
     """
-    weekday = F.dayofweek(day)
-    name = F.lit(None).cast("string")
-    names = []
-    for label, month, number, since in FIXED_HOLIDAYS:
-        names.append(F.when(_is_fixed(day, month, number, since), label))
-    for label, month, on, earliest, since in FLOATING_HOLIDAYS:
-        names.append(F.when(
-            (F.month(day) == month) & (weekday == on) & (F.year(day) >= since)
-            & F.dayofmonth(day).between(earliest, earliest + 6), label))
-    for label, month, number, since in FIXED_HOLIDAYS:
-        moved = ((weekday == MONDAY) & _is_fixed(F.date_sub(day, 1), month, number, since)) | (
-            (weekday == FRIDAY) & _is_fixed(F.date_add(day, 1), month, number, since))
-        names.append(F.when(moved, f"{label} (observed)"))
-    return F.coalesce(*names, name)
-
-
-def calendar_columns(day: Column) -> dict[str, Column]:
-    weekday = F.dayofweek(day)
-    holiday = us_holiday(day)
+    def fixed(on: str, month: int, number: int, since: int) -> str:
+        return f"month({on}) = {month} AND day({on}) = {number} AND year({on}) >= {since}"
+
+    branches = [
+        (fixed(day, month, number, since), name) for name, month, number, since in FIXED_HOLIDAYS]
+    branches += [
+        (f"month({day}) = {month} AND dayofweek({day}) = {weekday} AND year({day}) >= {since} "
+         f"AND day({day}) BETWEEN {earliest} AND {earliest + 6}", name)
+        for name, month, weekday, earliest, since in FLOATING_HOLIDAYS]
+    for name, month, number, since in FIXED_HOLIDAYS:
+        before, after = f"date_sub({day}, 1)", f"date_add({day}, 1)"
+        branches += [
+            (f"dayofweek({day}) = {MONDAY} AND {fixed(before, month, number, since)}", f"{name} (observed)"),
+            (f"dayofweek({day}) = {FRIDAY} AND {fixed(after, month, number, since)}", f"{name} (observed)")]
+    return F.expr("CASE " + " ".join(
+        f'WHEN {condition} THEN "{name}"' for condition, name in branches) + " END")
+
+
+def _calendar_columns() -> dict[str, str]:
+    """Calendar column to SQL expression over ``_day`` and ``_holiday``."""
     return {
-        "datekey": F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day),
-        "date": day,
-        "dayofweek": F.date_format(day, "EEEE"),
-        "dayofweek_short": F.date_format(day, "EEE"),
-        "month": F.date_format(day, "MMMM"),
-        "year": F.year(day),
-        "yearmonthnum": F.year(day) * 100 + F.month(day),
-        "monthyear": F.date_format(day, "MMMyyyy"),
-        "daynuminweek": weekday,
-        "daynuminmonth": F.dayofmonth(day),
-        "daynuminyear": F.dayofyear(day),
-        "monthnuminyear": F.month(day),
-        "iso_year": F.extract(F.lit("YEAROFWEEK"), day).cast("int"),
-        "iso_weeknuminyear": F.weekofyear(day),
-        "is_last_day_in_week": weekday == SATURDAY,
-        "is_last_day_in_month": day == F.last_day(day),
-        "is_holiday": holiday.isNotNull(),
-        "is_weekday": weekday.between(MONDAY, FRIDAY),
-        "is_holiday_us": holiday.isNotNull(),
-        "holiday_name_us": holiday,
+        "datekey": "year(_day) * 10000 + month(_day) * 100 + day(_day)",
+        "date": "_day",
+        "dayofweek": "date_format(_day, 'EEEE')",
+        "dayofweek_short": "date_format(_day, 'EEE')",
+        "month": "date_format(_day, 'MMMM')",
+        "year": "year(_day)",
+        "yearmonthnum": "year(_day) * 100 + month(_day)",
+        "monthyear": "date_format(_day, 'MMMyyyy')",
+        "daynuminweek": "dayofweek(_day)",
+        "daynuminmonth": "day(_day)",
+        "daynuminyear": "dayofyear(_day)",
+        "monthnuminyear": "month(_day)",
+        "iso_year": "CAST(extract(YEAROFWEEK FROM _day) AS INT)",
+        "iso_weeknuminyear": "weekofyear(_day)",
+        "is_last_day_in_week": f"dayofweek(_day) = {SATURDAY}",
+        "is_last_day_in_month": "_day = last_day(_day)",
+        "is_holiday": "_holiday IS NOT NULL",
+        "is_weekday": f"dayofweek(_day) BETWEEN {MONDAY} AND {FRIDAY}",
+        "is_holiday_us": "_holiday IS NOT NULL",
+        "holiday_name_us": "_holiday",
     }
 
 
@@ -88,8 +86,9 @@ def build_calendar(spark: SparkSession, low: date, high: date) -> DataFrame:
     """One row per day from ``low`` to ``high``, both included."""
     days = spark.range((high - low).days + 1).select(
         F.date_add(F.lit(low), F.col("id").cast("int")).alias("_day"))
-    built = calendar_columns(F.col("_day"))
-    return days.select(*[built[name].alias(name) for name in CALENDAR.fieldNames()])
+    built = _calendar_columns()
+    return days.select("_day", us_holiday("_day").alias("_holiday")).selectExpr(
+        *[f"{built[name]} AS {name}" for name in CALENDAR.fieldNames()])
 
 
 def calendar_of(sales: DataFrame, day: str = "sale_date") -> DataFrame:

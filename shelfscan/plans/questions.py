@@ -15,7 +15,7 @@ from shelfscan.functions.dates import first_of_month, month_start, shift_months,
 from shelfscan.functions.numbers import ratio
 from shelfscan.operators.filters import between_dates, in_periods, latest_date
 from shelfscan.operators.keyed import first_per_key
-from shelfscan.operators.metrics import PARTS
+from shelfscan.operators.metrics import sum_part
 from shelfscan.operators.rolling import with_trend
 from shelfscan.plans.reports import whole
 
@@ -33,7 +33,7 @@ def _in(low: date, high: date) -> Column:
 
 def _part_in(part: str, low: date, high: date) -> Column:
     """Exact sum of a part over the lines of a period; zero when there are none."""
-    return F.coalesce(F.sum(F.when(_in(low, high), PARTS[part]())), F.lit(0))
+    return F.coalesce(sum_part(part, _in(low, high)), F.lit(0))
 
 
 def _newest(sales: DataFrame, anchor: date | None) -> date:
@@ -96,7 +96,7 @@ def weekly_outliers(
     first = last - timedelta(weeks=weeks - 1)
     totals = between_dates(sales, first, last + timedelta(days=7)).groupBy(
         week_start(F.col("sale_date")).alias("week")).agg(
-        F.sum(PARTS["sales"]()).cast("double").alias("sales"))
+        sum_part("sales").cast("double").alias("sales"))
     points = totals.withColumn("x", F.floor(F.datediff("week", F.lit(first)) / 7).cast("int"))
     limit = points.agg(
         (F.avg("sales") + deviations * F.stddev_samp("sales")).alias("limit")).scalar()
@@ -181,7 +181,7 @@ def margin_trend(
     start, end = shift_months(month, 1 - months), shift_months(month, 1)
     totals = between_dates(sales, start, end).groupBy(
         month_start(F.col("sale_date")).alias("month")).agg(
-        F.sum(PARTS["margin"]()).alias("_margin"), F.sum(PARTS["sales"]()).alias("_sales"))
+        sum_part("margin").alias("_margin"), sum_part("sales").alias("_sales"))
     first = start.year * 12 + start.month
     points = totals.select(
         "month", "_margin", ratio(F.col("_margin"), F.col("_sales")).alias("_rate"),
@@ -197,7 +197,7 @@ def latest_month_leaders(sales: DataFrame, top: int = 3, anchor: date | None = N
     """Sales of the latest month: the total, then the leading families."""
     month = first_of_month(_newest(sales, anchor))
     families = between_dates(sales, month, shift_months(month, 1)).groupBy(FAMILY).agg(
-        F.sum(PARTS["sales"]()).alias("_sales"))
+        sum_part("sales").alias("_sales"))
     place = F.row_number().over(Window.orderBy(F.col("_sales").desc(), FAMILY))
     leaders = families.select(
         place.alias("place"), F.col(FAMILY).alias("family"), "_sales").where(F.col("place") <= top)

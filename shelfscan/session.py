@@ -27,6 +27,8 @@ def local_session(cores: int = 8, app: str = "shelfscan", **extra: str) -> Spark
         "spark.driver.memory": "8g",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        # keeps building a plan with many columns cheap
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         # both ends of a local session live on one machine
         "spark.driver.host": "127.0.0.1",
         "spark.driver.bindAddress": "127.0.0.1",

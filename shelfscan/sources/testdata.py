@@ -6,6 +6,7 @@ exactly one row, so leaving a join out changes no row.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,57 +45,77 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _expressions() -> dict[str, Column]:
-    c = F.col
-    store = c("l_suppkey").cast("int")
-    slot = F.pmod(c("l_partkey"), F.lit(len(CATEGORY_NAMES)))
-    names = F.array(*[F.lit(name).cast("string") for name in CATEGORY_NAMES])
-    category_name = F.get(names, slot.cast("int"))
-    volume = F.get(F.array(*[F.lit(v) for v in (50, 375, 750, 1750)]),
-                   F.pmod(c("l_partkey"), F.lit(4)).cast("int"))
-    liters = c("l_quantity") * volume / F.lit(1000.0)
-    day = c("o_orderdate").cast("date")
-    text = F.concat(
-        F.lit('{"type":"Point","coordinates":[-'),
-        (store % 6 + 90).cast("string"), F.lit("."), (store % 10).cast("string"), F.lit(","),
-        (store % 4 + 40).cast("string"), F.lit("."), (store % 9 + 1).cast("string"),
-        F.lit("]}"))
-    located = store % 10 != 0
-    longitude = F.when(located, -((store % 6 + 90) * 10 + store % 10) / 10)
-    latitude = F.when(located, ((store % 4 + 40) * 10 + store % 9 + 1) / 10)
-    location_json = F.when(located, text)
-    return {
-        KEY: F.concat(F.lit("INV-"), F.lpad(c("l_orderkey").cast("string"), 8, "0"),
-                      F.lpad(c("l_linenumber").cast("string"), 3, "0")),
-        "sale_date": day,
-        "sale_year": F.year(day),
-        "sale_month": F.month(day),
-        "store_number": store,
-        "store_name": c("s_name"),
-        "address": F.concat(c("l_suppkey").cast("string"), F.lit(" MAIN ST")),
-        "city": c("n_name"),
-        "zip_code": (c("l_suppkey") + 50000).cast("string"),
-        "store_location": point(longitude, latitude),
-        "store_location_json": location_json,
-        "county_number": c("n_nationkey").cast("int"),
-        "county": c("n_name"),
-        "category": (slot * 100 + 1000000).cast("int"),
-        "category_name": category_name,
-        "liquor_category": product_family(category_name),
-        "vendor_number": F.substring(c("p_brand"), 7, 10).cast("int"),
-        "vendor_name": c("p_brand"),
-        "item_number": c("l_partkey").cast("int"),
-        "item_description": F.when(c("l_partkey") % 2 == 0, F.upper("p_name"))
-                             .otherwise(c("p_name")),
-        "pack": c("p_size").cast("int"),
-        "bottle_volume_ml": volume.cast("int"),
-        "state_bottle_cost": F.when(c("l_linenumber") != 7, c("p_retailprice")),
-        "state_bottle_retail": c("p_retailprice") * 1.5,
-        "bottles_sold": c("l_quantity").cast("int"),
-        "sale_dollars": c("l_extendedprice"),
-        "volume_sold_liters": liters,
-        "volume_sold_gallons": liters / F.lit(LITERS_PER_GALLON),
-    }
+def _store() -> Column:
+    return F.col("l_suppkey").cast("int")
+
+
+def _day() -> Column:
+    return F.col("o_orderdate").cast("date")
+
+
+def _slot() -> Column:
+    return F.pmod(F.col("l_partkey"), F.lit(len(CATEGORY_NAMES))).cast("int")
+
+
+def _category_name() -> Column:
+    return F.get(F.array(*[F.lit(name).cast("string") for name in CATEGORY_NAMES]), _slot())
+
+
+def _volume() -> Column:
+    sizes = F.array(*[F.lit(size) for size in (50, 375, 750, 1750)])
+    return F.get(sizes, F.pmod(F.col("l_partkey"), F.lit(4)).cast("int"))
+
+
+def _liters() -> Column:
+    return F.col("l_quantity") * _volume() / F.lit(1000.0)
+
+
+def _location() -> Column:
+    store, located = _store(), _store() % 10 != 0
+    return point(
+        F.when(located, -((store % 6 + 90) * 10 + store % 10) / 10),
+        F.when(located, ((store % 4 + 40) * 10 + store % 9 + 1) / 10))
+
+
+def _location_json() -> Column:
+    return F.when(_store() % 10 != 0, F.expr("""
+        concat('{"type":"Point","coordinates":[-', 90 + l_suppkey % 6, '.', l_suppkey % 10, ',',
+               40 + l_suppkey % 4, '.', l_suppkey % 9 + 1, ']}')"""))
+
+
+# column -> expression; made only for the columns a query asks for
+_EXPRESSIONS: dict[str, Callable[[], Column]] = {
+    KEY: lambda: F.concat(
+        F.lit("INV-"), F.lpad(F.col("l_orderkey").cast("string"), 8, "0"),
+        F.lpad(F.col("l_linenumber").cast("string"), 3, "0")),
+    "sale_date": _day,
+    "sale_year": lambda: F.year(_day()),
+    "sale_month": lambda: F.month(_day()),
+    "store_number": _store,
+    "store_name": lambda: F.col("s_name"),
+    "address": lambda: F.concat(F.col("l_suppkey").cast("string"), F.lit(" MAIN ST")),
+    "city": lambda: F.col("n_name"),
+    "zip_code": lambda: (F.col("l_suppkey") + 50000).cast("string"),
+    "store_location": _location,
+    "store_location_json": _location_json,
+    "county_number": lambda: F.col("n_nationkey").cast("int"),
+    "county": lambda: F.col("n_name"),
+    "category": lambda: _slot() * 100 + 1000000,
+    "category_name": _category_name,
+    "liquor_category": lambda: product_family(_category_name()),
+    "vendor_number": lambda: F.substring("p_brand", 7, 10).cast("int"),
+    "vendor_name": lambda: F.col("p_brand"),
+    "item_number": lambda: F.col("l_partkey").cast("int"),
+    "item_description": lambda: F.expr("if(l_partkey % 2 = 0, upper(p_name), p_name)"),
+    "pack": lambda: F.col("p_size").cast("int"),
+    "bottle_volume_ml": lambda: _volume().cast("int"),
+    "state_bottle_cost": lambda: F.when(F.col("l_linenumber") != 7, F.col("p_retailprice")),
+    "state_bottle_retail": lambda: F.col("p_retailprice") * 1.5,
+    "bottles_sold": lambda: F.col("l_quantity").cast("int"),
+    "sale_dollars": lambda: F.col("l_extendedprice"),
+    "volume_sold_liters": _liters,
+    "volume_sold_gallons": lambda: _liters() / F.lit(LITERS_PER_GALLON),
+}
 
 
 def sales(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -114,8 +135,7 @@ def sales(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     if need & _NATION:
         nation = table(spark, sf_dir, "nation")
         lines = lines.join(nation, F.col("s_nationkey") == nation.n_nationkey)
-    built = _expressions()
-    return lines.select(*[built[name].alias(name) for name in wanted])
+    return lines.select(*[_EXPRESSIONS[name]().alias(name) for name in wanted])
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
