@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 import public_tokenizers
 
 from shelfscan.llm import (
-    decontamination, language, lattice, packing, records, secret_scan, simhash, token_counts)
+    decontamination, language, lattice, packing, records, secret_scan, simhash, substrings,
+    token_counts)
 from shelfscan.llm.common import table
 from shelfscan.session import fresh_folder
 
@@ -14,6 +15,10 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), BYTE_BPE)
 
@@ -51,6 +56,6 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f for f in (
-        op2_packing, op3_token_records, op4_simhash, op5_language, op7_token_counts, op8_lattice,
-        op9_secrets, op10_decontamination)}
+        op1_substrings, op2_packing, op3_token_records, op4_simhash, op5_language, op7_token_counts,
+        op8_lattice, op9_secrets, op10_decontamination)}
 ORACLES: dict[str, str] = {}
