@@ -7,7 +7,7 @@ import public_tokenizers
 
 from shelfscan.llm import (
     decontamination, language, lattice, packing, records, secret_scan, simhash, substrings,
-    token_counts)
+    token_counts, wrappers)
 from shelfscan.llm.common import table
 from shelfscan.session import fresh_folder
 
@@ -37,6 +37,10 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, language.train(docs))
 
 
+def op6_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), WORD_BPE)
 
@@ -56,6 +60,6 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f for f in (
-        op1_substrings, op2_packing, op3_token_records, op4_simhash, op5_language, op7_token_counts,
-        op8_lattice, op9_secrets, op10_decontamination)}
+        op1_substrings, op2_packing, op3_token_records, op4_simhash, op5_language, op6_wrappers,
+        op7_token_counts, op8_lattice, op9_secrets, op10_decontamination)}
 ORACLES: dict[str, str] = {}
