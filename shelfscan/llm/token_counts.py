@@ -27,7 +27,7 @@ def count_texts(path: str, texts: list[str | None]) -> list[int]:
     direct = {i for i, text in enumerate(texts) if text and special(text)}
     frequencies = [Counter() if text is None or i in direct else Counter(text.split())
                    for i, text in enumerate(texts)]
-    pieces = count_memo(path).of(set().union(*frequencies))
+    pieces = count_memo(path).trim()
     counts = [sum([n * pieces[unit] for unit, n in frequency.items()])
               for frequency in frequencies]
     for i in direct:

@@ -8,7 +8,7 @@ import os
 import re
 
 #: Pre-tokens in one generation of a memo; two generations are kept.
-MEMO_SIZE = 250_000
+MEMO_SIZE = 500_000
 #: Pre-tokens longer than this are encoded each time.
 MEMO_CHARS = 64
 
@@ -38,39 +38,42 @@ def special_text(path: str) -> re.Pattern:
     return re.compile("|".join([*strings, DISPUTED_SPACE.pattern]), re.IGNORECASE)
 
 
-class Memo:
-    """Value of each pre-token, worked out once. Two generations bound the memory:
-    what the younger one has not seen when it is full is forgotten later."""
+class Memo(dict):
+    """Value of each pre-token, worked out once. Two generations bound the memory: what the
+    younger one has not seen when it is full is forgotten later."""
 
     def __init__(self, work):
+        super().__init__()
         self.work = work
-        self.young: dict = {}
         self.old: dict = {}
 
-    def of(self, units: set[str]) -> dict:
-        """A mapping that holds all the units."""
-        if len(self.young) > MEMO_SIZE:
-            self.old, self.young = self.young, {}
-        missing = units - self.young.keys()
-        known = {unit: self.old[unit] for unit in missing if unit in self.old}
-        missing = sorted(missing - known.keys())
-        known.update(zip(missing, self.work(missing)))
-        self.young.update((u, v) for u, v in known.items() if len(u) <= MEMO_CHARS)
-        return self.young if all(len(u) <= MEMO_CHARS for u in known) else {**self.young, **known}
+    def __missing__(self, unit: str):
+        value = self.old.get(unit)
+        if value is None:
+            value = self.work(unit)
+        if len(unit) <= MEMO_CHARS:
+            self[unit] = value
+        return value
+
+    def trim(self) -> Memo:
+        """Begin a new generation when this one is full."""
+        if len(self) > MEMO_SIZE:
+            self.old = dict(self)
+            self.clear()
+        return self
 
 
 @cache
 def id_memo(path: str) -> Memo:
     """Lives as long as the Python worker."""
-    encode = tokenizer(path).encode_batch
-    return Memo(lambda units: [array("I", e.ids).tobytes()
-                               for e in encode(units, add_special_tokens=False)])
+    encode = tokenizer(path).encode
+    return Memo(lambda unit: array("I", encode(unit, add_special_tokens=False).ids).tobytes())
 
 
 @cache
 def count_memo(path: str) -> Memo:
-    encode = tokenizer(path).encode_batch
-    return Memo(lambda units: [len(e) for e in encode(units, add_special_tokens=False)])
+    encode = tokenizer(path).encode
+    return Memo(lambda unit: len(encode(unit, add_special_tokens=False)))
 
 
 def encode_ids(path: str, texts: list[str | None]) -> list[bytes]:
@@ -81,10 +84,10 @@ def encode_ids(path: str, texts: list[str | None]) -> list[bytes]:
     """
     special = special_text(path).search
     direct = {i for i, text in enumerate(texts) if text and special(text)}
-    split = [[] if text is None or i in direct else BYTE_LEVEL_UNIT.findall(text)
+    get = id_memo(path).trim().__getitem__
+    found = [b"" if text is None or i in direct
+             else b"".join(map(get, BYTE_LEVEL_UNIT.findall(text)))
              for i, text in enumerate(texts)]
-    get = id_memo(path).of(set().union(*split)).__getitem__
-    found = [b"".join(map(get, units)) for units in split]
     for i in direct:
         ids = tokenizer(path).encode(texts[i], add_special_tokens=False).ids
         found[i] = array("I", ids).tobytes()
