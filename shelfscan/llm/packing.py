@@ -1,6 +1,6 @@
 """Packing of token pieces into windows by multiway differencing.
 
-Documents are cut into full windows and a remainder, remainders into four shrinking pieces. The
+Documents are cut into full windows and a remainder, remainders into three shrinking pieces. The
 pieces of a block (hashed, about ``BLOCK_WINDOWS`` windows of tokens) are dealt to windows by
 Karmarkar-Karp differencing: the two partial partitions with the largest imbalance are merged,
 full ends against empty ends, until one is left. If a window exceeds the capacity the block is
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from shelfscan.llm.common import arrow_pass, stored
 from shelfscan.llm.tokens import encode_ids
 
-BLOCK_WINDOWS = 256
+BLOCK_WINDOWS = 192
 END_ID = 0
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PACKED = PIECES + ", sequence_id long, offset long"
@@ -31,7 +31,7 @@ def cuts(n: int, capacity: int) -> list[tuple[int, int]]:
     whole = n - n % capacity
     found = [(at, capacity) for at in range(0, whole, capacity)]
     at, rest = whole, n - whole
-    for share in (2, 2, 2, 1):
+    for share in (2, 2, 1):
         size = rest // share if rest >= 16 else rest
         if size:
             found.append((at, size))

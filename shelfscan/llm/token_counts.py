@@ -11,7 +11,7 @@ from collections import Counter
 from pyspark.sql import DataFrame
 
 from shelfscan.llm.common import arrow_pass
-from shelfscan.llm.tokens import count_memo, special_text, tokenizer
+from shelfscan.llm.tokens import count_memo, encoded_whole, tokenizer
 
 COUNTS = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
@@ -23,8 +23,7 @@ def count_texts(path: str, texts: list[str | None]) -> list[int]:
     the library's and do not reach across white space. Texts that hold special strings are
     counted whole, by the library's default.
     """
-    special = special_text(path).search
-    direct = {i for i, text in enumerate(texts) if text and special(text)}
+    direct = {i for i, text in enumerate(texts) if text and encoded_whole(path, text)}
     frequencies = [Counter() if text is None or i in direct else Counter(text.split())
                    for i, text in enumerate(texts)]
     pieces = count_memo(path).trim()

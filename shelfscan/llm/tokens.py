@@ -16,7 +16,7 @@ MEMO_CHARS = 64
 #: white space. Splitting a unit is left to the library.
 BYTE_LEVEL_UNIT = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 #: Characters that Python takes for white space and the library does not.
-DISPUTED_SPACE = re.compile(r"[\x1c-\x1f]")
+DISPUTED_SPACE = "\x1c\x1d\x1e\x1f"
 
 
 @cache
@@ -31,11 +31,15 @@ def tokenizer(path: str):
 
 
 @cache
-def special_text(path: str) -> re.Pattern:
-    """Texts with these strings or characters are encoded whole."""
+def special_strings(path: str) -> tuple[str, ...]:
+    """Texts with one of these strings are encoded whole: the added tokens, which the library
+    looks for in the text as it is, and the disputed white space."""
     added = tokenizer(path).get_added_tokens_decoder().values()
-    strings = [re.escape(token.content) for token in added]
-    return re.compile("|".join([*strings, DISPUTED_SPACE.pattern]), re.IGNORECASE)
+    return tuple(sorted({token.content for token in added} | set(DISPUTED_SPACE)))
+
+
+def encoded_whole(path: str, text: str) -> bool:
+    return any([string in text for string in special_strings(path)])
 
 
 class Memo(dict):
@@ -82,13 +86,14 @@ def encode_ids(path: str, texts: list[str | None]) -> list[bytes]:
     For byte-level tokenizers without a normalizer. Equal to encoding each text by the library:
     its pre-tokens lie inside the units, and texts with special strings are encoded whole.
     """
-    special = special_text(path).search
-    direct = {i for i, text in enumerate(texts) if text and special(text)}
     get = id_memo(path).trim().__getitem__
-    found = [b"" if text is None or i in direct
-             else b"".join(map(get, BYTE_LEVEL_UNIT.findall(text)))
-             for i, text in enumerate(texts)]
-    for i in direct:
-        ids = tokenizer(path).encode(texts[i], add_special_tokens=False).ids
-        found[i] = array("I", ids).tobytes()
+    found = []
+    for text in texts:
+        if not text:
+            found.append(b"")
+        elif encoded_whole(path, text):
+            ids = tokenizer(path).encode(text, add_special_tokens=False).ids
+            found.append(array("I", ids).tobytes())
+        else:
+            found.append(b"".join(map(get, BYTE_LEVEL_UNIT.findall(text))))
     return found
