@@ -28,7 +28,7 @@ from shelfscan.llm.suffixes import Hashed, merge_sort
 
 LENGTH = 400
 GRAM = 64
-GROUP = 256
+GROUP = 4096
 #: Window starts of a text that are worked on at once.
 CHUNK = 1 << 20
 
@@ -103,6 +103,8 @@ def repeated_starts(stretches: list[bytes], lead: np.ndarray, size: np.ndarray,
     i = np.flatnonzero(group[1:] == group[:-1])
     step, right = 1, None
     adjacent = np.zeros(len(group), dtype=np.int64)
+    # longest left agreement found with a later and with an earlier rank
+    longest = np.full((2, len(group)), -1, dtype=np.int64)
     while len(i):
         j = i + step
         if step == 1:
@@ -113,10 +115,15 @@ def repeated_starts(stretches: list[bytes], lead: np.ndarray, size: np.ndarray,
         wide = right >= need[i]
         i, right = i[wide], right[wide]
         j = i + step
-        left = hashed.agree_left(anchor[i], anchor[j], np.minimum(lead[i], lead[j]))
-        for a, b, x, y in zip(*(v.tolist() for v in (i, j, left, right))):
-            if x + y < LENGTH:
-                continue
+        # a farther neighbour agrees less on the right: it only counts where the left is longer
+        useful = np.flatnonzero((longest[0][i] < lead[i]) | (longest[1][j] < lead[j]))
+        a, b, y = i[useful], j[useful], right[useful]
+        x = hashed.agree_left(anchor[a], anchor[b], np.minimum(lead[a], lead[b]))
+        hit = (x + y >= LENGTH) & ((x > longest[0][a]) | (x > longest[1][b]))
+        a, b, x, y = a[hit], b[hit], x[hit], y[hit]
+        longest[0][a] = np.maximum(longest[0][a], x)
+        longest[1][b] = np.maximum(longest[1][b], x)
+        for a, b, x, y in zip(*(v.tolist() for v in (a, b, x, y))):
             x, y = verified(buffer, int(anchor[a]), int(anchor[b]), x, y)
             for member in (a, b):
                 low = max(int(lead[member]) - x, 0)
