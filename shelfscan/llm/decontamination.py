@@ -29,7 +29,8 @@ FOUND = ("doc_id long, n_words long, n_hit long, n_items long, items_sha256 stri
          "contaminated boolean")
 HITS = "`__n` long, `__hits` array<int>, `__items` array<string>"
 
-WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+#: A word in either case.
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 _SEPARATORS = bytes(c for c in range(128) if not chr(c).isalnum())
 LOWER = bytes.maketrans(
     bytes(range(65, 91)) + _SEPARATORS, bytes(range(97, 123)) + b" " * len(_SEPARATORS))
