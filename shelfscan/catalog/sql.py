@@ -116,13 +116,13 @@ stores AS (
 MONTHLY = """
 monthly AS (
   SELECT CAST(date_trunc('month', sale_date) AS DATE) AS month,
-         sum(CAST(sale_dollars AS DECIMAL(18,4))) AS total
+         sum(CAST(sale_dollars AS DECIMAL(38,10))) AS total
   FROM sales GROUP BY 1
 )"""
 
 DAILY = """
 daily AS (
-  SELECT sale_date, sum(CAST(sale_dollars AS DECIMAL(18,4))) AS total FROM sales GROUP BY 1
+  SELECT sale_date, sum(CAST(sale_dollars AS DECIMAL(38,10))) AS total FROM sales GROUP BY 1
 )"""
 
 
@@ -133,7 +133,7 @@ def with_sales(*parts: str, select: str) -> str:
 
 def money(column: str = "sale_dollars") -> str:
     """Exact sum of a money column."""
-    return f"sum(CAST({column} AS DECIMAL(18,4)))"
+    return f"sum(CAST({column} AS DECIMAL(38,10)))"
 
 
 def whole(value: str) -> str:
@@ -150,8 +150,8 @@ def share(numerator: str, denominator: str) -> str:
     return (f"round(CAST({numerator} AS DOUBLE) / nullif(CAST({denominator} AS DOUBLE), 0.0), 6)")
 
 
-MARGIN = "CAST(sale_dollars - state_bottle_cost * bottles_sold AS DECIMAL(18,4))"
-COST = "CAST(state_bottle_cost * bottles_sold AS DECIMAL(18,4))"
+MARGIN = "CAST(sale_dollars - state_bottle_cost * bottles_sold AS DECIMAL(38,10))"
+COST = "CAST(state_bottle_cost * bottles_sold AS DECIMAL(38,10))"
 
 
 def part_in(value: str, low: str, high: str) -> str:
@@ -160,4 +160,4 @@ def part_in(value: str, low: str, high: str) -> str:
             f"THEN {value} END), 0)")
 
 
-SALE = "CAST(sale_dollars AS DECIMAL(18,4))"
+SALE = "CAST(sale_dollars AS DECIMAL(38,10))"

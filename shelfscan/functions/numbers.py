@@ -2,34 +2,29 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY_SCALE = 4
-VOLUME_SCALE = 6
-
-
-def units(amount: Column, scale: int = MONEY_SCALE) -> Column:
-    """The amount as a whole number of its smallest unit, such as 1/10000 dollar."""
-    return F.floor(amount * 10**scale + 0.5).cast("decimal(18,0)")
+#: Decimals kept of each amount in a sum.
+SUM_SCALE = 10
 
 
-def exact_sum(amount: Column, scale: int = MONEY_SCALE, when: Column | None = None) -> Column:
+def exact_sum(amount: Column, when: Column | None = None) -> Column:
     """SUM of a DOUBLE column as a decimal that does not depend on task order or retries.
 
-    Whole units are added up, which costs far less than turning every DOUBLE into a decimal
-    with a fraction. ``when`` restricts the sum to some rows.
+    Amounts count with ``SUM_SCALE`` decimals and up to 28 digits before them; what is smaller
+    is lost. NaN and infinite amounts have no decimal and are an error, not a zero. ``when``
+    restricts the sum to some rows.
     """
-    value = units(amount, scale)
-    summed = F.sum(value if when is None else F.when(when, value))
-    return summed * F.lit(Decimal(1).scaleb(-scale))
+    finite = F.abs(amount.cast("double")) < float("inf")
+    value = F.when(amount.isNull() | finite, amount.cast(f"decimal(38,{SUM_SCALE})")).otherwise(
+        F.raise_error(F.lit("an amount is NaN or infinite")))
+    return F.sum(value if when is None else F.when(when, value))
 
 
-def total(amount: Column, scale: int = MONEY_SCALE) -> Column:
+def total(amount: Column) -> Column:
     """Order-independent SUM of a DOUBLE column, as DOUBLE."""
-    return exact_sum(amount, scale).cast("double")
+    return exact_sum(amount).cast("double")
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfscan.functions.numbers import MONEY_SCALE, VOLUME_SCALE, exact_sum, ratio
+from shelfscan.functions.numbers import exact_sum, ratio
 
 
 def _margin() -> Column:
@@ -19,23 +19,23 @@ def _margin() -> Column:
     return F.col("sale_dollars") - F.col("state_bottle_cost") * F.col("bottles_sold")
 
 
-# part name -> value of one sales line and its decimals (None for whole numbers)
-PARTS: dict[str, tuple[Callable[[], Column], int | None]] = {
-    "sales": (lambda: F.col("sale_dollars"), MONEY_SCALE),
-    "bottles": (lambda: F.col("bottles_sold").cast("bigint"), None),
-    "liters": (lambda: F.col("volume_sold_liters"), VOLUME_SCALE),
-    "gallons": (lambda: F.col("volume_sold_gallons"), VOLUME_SCALE),
-    "cost": (lambda: F.col("state_bottle_cost") * F.col("bottles_sold"), MONEY_SCALE),
-    "margin": (_margin, MONEY_SCALE),
+# part name -> value of one sales line, and whether it is a whole number
+PARTS: dict[str, tuple[Callable[[], Column], bool]] = {
+    "sales": (lambda: F.col("sale_dollars"), False),
+    "bottles": (lambda: F.col("bottles_sold").cast("bigint"), True),
+    "liters": (lambda: F.col("volume_sold_liters"), False),
+    "gallons": (lambda: F.col("volume_sold_gallons"), False),
+    "cost": (lambda: F.col("state_bottle_cost") * F.col("bottles_sold"), False),
+    "margin": (_margin, False),
 }
 
 
 def sum_part(part: str, when: Column | None = None) -> Column:
     """Exact sum of a part over sales lines, or over those of them that meet a condition."""
-    value, scale = PARTS[part]
-    if scale is None:
+    value, whole = PARTS[part]
+    if whole:
         return F.sum(value() if when is None else F.when(when, value()))
-    return exact_sum(value(), scale, when)
+    return exact_sum(value(), when)
 
 
 PART_COLUMNS: dict[str, set[str]] = {

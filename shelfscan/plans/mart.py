@@ -15,7 +15,7 @@ from shelfscan.plans.calendar import build_calendar
 from shelfscan.plans.loads import Store
 from shelfscan.plans.semantic import SalesModel
 from shelfscan.plans.stores import store_locations
-from shelfscan.plans.verified import ask
+from shelfscan.plans.verified import ask, takes_anchor
 from shelfscan.schemas import CALENDAR, STORES
 from shelfscan.session import empty_frame, path_exists
 
@@ -84,6 +84,9 @@ class Mart:
         return reports.daily_trend(self.sales(), **options)
 
     def ask(self, question: str, **options) -> DataFrame:
+        """A verified question; trailing reports end with the newest date of the snapshot."""
+        if takes_anchor(question):
+            options.setdefault("anchor", self.newest_date())
         return ask(self.sales(), question, **options)
 
     def create_views(self, sales: str = "sales", calendar: str = "date_dim",

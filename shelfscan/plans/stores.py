@@ -20,8 +20,6 @@ CORRECTIONS = [
     (10663, -92.67254, 43.07529),
 ]
 
-MAX_LISTED_CORRECTIONS = 10_000
-
 SOURCE_COLUMNS = [
     "store_number", "store_name", "address", "city", "zip_code", "county",
     "county_number", "store_location", "sale_date", KEY,
@@ -40,22 +38,24 @@ def latest_per_store(sales: DataFrame) -> DataFrame:
         located_first, F.col("sale_date").desc_nulls_first(), F.col(KEY), *map(F.col, ties)])
 
 
-def corrections_frame(spark: SparkSession, listed: Sequence[tuple[int, float, float]]) -> DataFrame:
-    """Corrections kept in code; a larger set belongs in a table."""
-    if len(listed) > MAX_LISTED_CORRECTIONS:
-        raise ValueError("read a correction list of this size from a table")
-    schema = "corrected_store int, corrected_longitude double, corrected_latitude double"
+Corrections = Sequence[tuple[int, float, float]] | DataFrame
+
+
+def corrections_frame(spark: SparkSession, listed: Corrections) -> DataFrame:
+    """Corrections as a relation; they may come as a list or as a DataFrame of three columns."""
+    names = ["corrected_store", "corrected_longitude", "corrected_latitude"]
+    if isinstance(listed, DataFrame):
+        return listed.toDF(*names)
+    schema = ", ".join(f"{name} {kind}" for name, kind in zip(names, ("int", "double", "double")))
     return spark.createDataFrame(list(listed), schema)
 
 
-def override_known_bad(
-    stores: DataFrame, listed: Sequence[tuple[int, float, float]] = CORRECTIONS,
-) -> DataFrame:
+def override_known_bad(stores: DataFrame, listed: Corrections = CORRECTIONS) -> DataFrame:
     """Replace location and coordinates of the listed stores and flag them.
 
-    The list comes from the driver and its length is checked, so it can be broadcast.
+    Both sides have one row per store. Spark broadcasts the corrections when they are small.
     """
-    fixes = F.broadcast(corrections_frame(stores.sparkSession, listed))
+    fixes = corrections_frame(stores.sparkSession, listed)
     joined = stores.join(fixes, F.col("store_number") == F.col("corrected_store"), "left")
     fixed_point = point(F.col("corrected_longitude"), F.col("corrected_latitude"))
     return joined.select(
@@ -69,7 +69,7 @@ def override_known_bad(
 
 def store_locations(
     sales: DataFrame,
-    corrections: Sequence[tuple[int, float, float]] = CORRECTIONS,
+    corrections: Corrections = CORRECTIONS,
     state: str = STATE,
     keep_unlocated: bool = False,
 ) -> DataFrame:

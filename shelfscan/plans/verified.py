@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from inspect import signature
 
 from pyspark.sql import DataFrame
 
@@ -31,10 +32,20 @@ VERIFIED = [
 ]
 
 
-def ask(sales: DataFrame, question: str, **options) -> DataFrame:
-    """Answer a verified question, given by its name or text."""
+def find(question: str) -> VerifiedQuery:
+    """The verified query with this name or text."""
     wanted = question.strip().rstrip("?.").lower()
     for query in VERIFIED:
         if wanted in (query.name.lower(), query.question.rstrip("?.").lower()):
-            return query.answer(sales, **options)
+            return query
     raise ValueError(f"no verified query for {question!r}")
+
+
+def takes_anchor(question: str) -> bool:
+    """Whether the answer depends on the newest date of all sales."""
+    return "anchor" in signature(find(question).answer).parameters
+
+
+def ask(sales: DataFrame, question: str, **options) -> DataFrame:
+    """Answer a verified question, given by its name or text."""
+    return find(question).answer(sales, **options)

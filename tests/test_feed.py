@@ -66,6 +66,36 @@ def test_backlog_in_several_batches(spark, tmp_path):
     assert table.version() == 4
 
 
+def test_streams_with_checkpoints_of_their_own_share_a_table(spark, tmp_path):
+    table, aside = MonthTable(spark, str(tmp_path / "sales")), str(tmp_path / "aside")
+    for number, name in enumerate(("a", "b")):
+        raw_rows(spark, document(number)).write.parquet(str(tmp_path / name))
+        assert feed.stream_upsert(
+            spark, str(tmp_path / name), table, str(tmp_path / f"check-{name}"), quarantine=aside) == 1
+    # a lost checkpoint: everything is read again, new rows come with it
+    raw_rows(spark, document(7)).write.mode("append").parquet(str(tmp_path / "a"))
+    assert feed.stream_upsert(
+        spark, str(tmp_path / "a"), table, str(tmp_path / "check-new"), quarantine=aside) == 2
+    assert keys(table) == ["INV-0", "INV-1", "INV-7"]
+
+
+def test_all_batches_are_counted(spark, tmp_path):
+    for number in range(4):
+        folder = tmp_path / "in" / "year=2024" / f"month=0{number + 1}"
+        folder.mkdir(parents=True)
+        (folder / "page.jsonl").write_text(json.dumps(document(number)) + "\n{broken\n\n")
+    kept = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(kept)
+    spark.conf.set(kept, "2")
+    try:
+        n = feed.stream_landing(spark, str(tmp_path / "in"), str(tmp_path / "raw"),
+                                str(tmp_path / "check"), max_files=1)
+        assert spark.conf.get(kept) == "2"
+    finally:
+        spark.conf.set(kept, before)
+    assert n == 4 == spark.read.parquet(str(tmp_path / "raw")).count()
+
+
 def test_failed_batch_is_read_again(spark, tmp_path, monkeypatch):
     raw, table = str(tmp_path / "raw"), MonthTable(spark, str(tmp_path / "sales"))
     options = dict(checkpoint=str(tmp_path / "check"), quarantine=str(tmp_path / "aside"))

@@ -5,6 +5,7 @@ import pytest
 
 from shelfscan.functions.numbers import total
 from shelfscan.operators import filters, joins, rolling
+from shelfscan.functions.numbers import total
 from shelfscan.plans import calendar, reports, stores
 from shelfscan.schemas import CALENDAR
 from shelfscan.sources.testdata import CORRECTIONS, sales
@@ -173,6 +174,17 @@ def test_calendar_columns(spark):
         "Saturday", "Saturday")
 
 
-def test_store_corrections_come_from_a_list_of_checked_length(spark):
-    with pytest.raises(ValueError):
-        stores.corrections_frame(spark, CORRECTIONS * 4000)
+def test_store_corrections_may_be_a_relation(spark):
+    schema = "store int, longitude double, latitude double"
+    listed = stores.corrections_frame(spark, CORRECTIONS * 4000)
+    assert listed.count() == len(CORRECTIONS) * 4000
+    given = stores.corrections_frame(spark, spark.createDataFrame(CORRECTIONS, schema))
+    assert given.columns == listed.columns and given.count() == len(CORRECTIONS)
+
+
+def test_sums_keep_small_amounts_and_show_nan(spark):
+    small = spark.range(100_000).select(F.lit(0.00004).alias("x"))
+    assert small.agg(total(F.col("x"))).first()[0] == 4.0
+    bad = spark.createDataFrame([(1.0,), (float("nan"),)], "x double")
+    with pytest.raises(Exception, match="NaN"):
+        bad.agg(total(F.col("x"))).collect()
