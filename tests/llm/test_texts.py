@@ -1,0 +1,126 @@
+"""Secrets, language, pages and the pipeline on odd rows; held-out accuracy."""
+
+import hashlib
+
+from pyspark.sql import functions as F
+import pytest
+
+import corpus_pipeline
+from shelfscan.llm import language, secret_scan, wrappers
+from shelfscan.llm.common import prepare
+
+ODD = [(1, None), (2, ""), (2, ""), (None, "token=abcdefgh"), (4, "x " * 20000 + "password: hunter2222")]
+
+
+def odd_docs(spark):
+    prepare(spark)
+    return spark.createDataFrame(ODD, "doc_id long, text string").withColumns(
+        {"spans": F.lit(1), "lang": F.lit(None).cast("string"), "score": F.lit("x"), "h": F.lit(1)})
+
+
+def test_base_spans_by_hand():
+    text = ('API_KEY = "abc12345" tſoken=abcdefgh passwd:short '
+            "AKIAABCDEFGHIJKL AKIASHORT " + "0a" * 16 + " " + "0a" * 15)
+    found = secret_scan.listed(secret_scan.base_spans(text))
+    assert found == f"assign:0:19,access:{text.index('AKIAA')}:{text.index('AKIAA') + 16}," \
+                    f"hex:{text.index('0a')}:{text.index('0a') + 32}"
+
+
+def test_weak_parts_need_their_counterpart():
+    secret = "q7Rt9xWz4LmN2bVc8KpE"
+    alone = f"value {secret} and https://db.example.org/x"
+    assert secret_scan.secret_spans(f"value {secret} only")[1] == []
+    assert [k for _, k, _ in secret_scan.secret_spans(alone)[1]] == [4]
+    both = f"client_id=app-77 value {secret} at https://db.example.org/x"
+    assert [k for _, k, _ in secret_scan.secret_spans(both)[1]] == [3, 4, 5]
+    apart = f"client_id=app-77\n\nvalue {secret}"
+    assert secret_scan.secret_spans(apart)[1] == []
+    assert secret_scan.secret_spans(f"client_id=app-77 {'word ' * 80} {secret}")[1] == []
+    assert secret not in secret_scan.redacted(both) and "client_id" not in secret_scan.redacted(both)
+
+
+def test_secrets_of_odd_rows(spark):
+    docs = odd_docs(spark)
+    empty = hashlib.sha256(b"").hexdigest()
+    found = {(r.doc_id, r.n_assign, r.base_sha256 == empty) for r in secret_scan.find_secrets(docs).collect()}
+    assert found == {(1, 0, True), (2, 0, True), (None, 1, False), (4, 1, False)}
+    cut = secret_scan.redact_secrets(docs)
+    assert cut.columns == docs.columns and cut.count() == len(ODD)
+    assert cut.where("doc_id IS NULL").first().text == "[assign]"
+    assert secret_scan.find_secrets(docs.limit(0)).count() == 0
+
+
+def test_language_of_held_out_rows(spark):
+    prepare(spark)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = language.identify(docs, language.train(docs)).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    held = [r for r in found if r.held_out]
+    assert {r.doc_id for r in held} == {r.doc_id for r in found if language.fold_of(r.doc_id) == 0}
+    assert sum(r.lang == r.lang_pred for r in held) >= 0.95 * len(held)
+    assert all(0 <= r.score <= 1 for r in found)
+    assert sum(r.rejected for r in found) <= 0.02 * len(found)
+
+
+def test_language_of_odd_rows(spark):
+    docs = odd_docs(spark)
+    assert language.train(docs) == {}
+    assert {r.lang_pred for r in language.identify(docs, {}).collect()} == {"und"}
+    model = {"en": b"token the password x", "fr": b"une le la les"}
+    found = {r.doc_id: r for r in language.identify(docs, model).collect()}
+    assert found[1].lang_pred == found[2].lang_pred == "und" and found[1].rejected
+    assert found[4].lang_pred == "en"
+    assert language.accepted(docs, model).columns == docs.columns
+    assert language.identify(docs.limit(0), model).count() == 0
+
+
+PAGE = ("<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t='</p>';</script></head>"
+        "<body><header>Site</header><nav><ul><li><a href=/>Home</a></ul></nav><!-- x --><div class='ad'>Buy</div>"
+        "<article><h1>Head {0}</h1><p>One&nbsp;&amp; <b>bo</b>ld {0}<br>next<p>Two   {0}"
+        "<div class=share-3>Share this</div><p>Fixed line</p><form><p>Mail</p></form></article>"
+        "<aside>Side {0}</aside><section class=comments><p>Reader {0}</p></section><footer>End</footer></body></html>")
+
+
+def test_pages_by_the_wrapper_of_their_host(spark):
+    prepare(spark)
+    rows = [(n, f"https://A.example/{n}", PAGE.replace("{0}", f"number {n}")) for n in range(6)]
+    rows += [(7, None, None), (8, "", ""), (9, "http://b.example", "just text < 5 &lt; 6"),
+             (0, "https://a.example/0", rows[0][2]), (10, "http://c.example/",
+              "<DIV><p>First</p><P>Second long paragraph</div><div class=footer>no</div>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("host", F.lit(1))
+    found = wrappers.extract_text(pages)
+    text = {r.page_id: r.text for r in found.collect()}
+    assert found.count() == len(rows)
+    assert text[3] == "Head number 3 One & bold number 3 next Two number 3"  # the fixed line is the template's
+    assert text[7] == text[8] == "" and text[9] == "just text < 5 < 6"
+    assert text[10] == "First Second long paragraph"
+    assert wrappers.extract_text(pages.limit(0)).count() == 0
+    wrapper = wrappers.infer_wrappers(pages).where("host = 'a.example'").first().wrapper
+    assert "<h1>#PCDATA</>" in wrapper and "<p>'Fixed line'</>" in wrapper
+
+
+def test_wrapper_has_repeated_and_optional_groups():
+    pages = ["<ul><li>a<li>b</ul><p>x", "<ul><li>c</ul><h2>t</h2><p>x", "<ul><li>a<li>d<li>e</ul><p>x"]
+    assert str(wrappers.infer(pages)) == "<#root><ul>(<li>#PCDATA</>)+</>(<h2>'t'</>)?<p>'x'</></>"
+
+
+def test_pages_alone_keep_every_line():
+    assert wrappers.extract(PAGE.replace("{0}", "z"), None) == "Head z One & bold z next Two z Fixed line"
+
+
+@pytest.mark.parametrize("stage", range(len(corpus_pipeline.STAGES)))
+def test_stages_take_odd_rows(spark, sf_dir, stage):
+    name, function = corpus_pipeline.STAGES[stage]
+    docs = odd_docs(spark)
+    for given in (docs, docs.limit(0)):
+        found = function(spark, given, sf_dir)
+        if name != "packing":
+            assert found.columns == given.columns
+        rows = found.collect()
+        assert bool(rows) == (given is docs and name != "language")
+
+
+def test_pipeline_runs_through(spark, sf_dir):
+    found = corpus_pipeline.run(spark, sf_dir)
+    assert {"doc_id", "sequence_id", "offset", "length"} <= set(found.columns)
+    used = found.groupBy("sequence_id").agg(F.sum("length").alias("n"))
+    assert used.agg(F.max("n")).first()[0] <= 1024
