@@ -11,7 +11,7 @@ from collections import Counter
 from pyspark.sql import DataFrame
 
 from shelfscan.llm.common import arrow_pass
-from shelfscan.llm.tokens import count_memo, encoded_whole, tokenizer
+from shelfscan.llm.tokens import count_memo, encoded_whole, groups_of, tokenizer
 
 COUNTS = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
@@ -23,14 +23,16 @@ def count_texts(path: str, texts: list[str | None]) -> list[int]:
     the library's and do not reach across white space. Texts that hold special strings are
     counted whole, by the library's default.
     """
-    direct = {i for i, text in enumerate(texts) if text and encoded_whole(path, text)}
-    frequencies = [Counter() if text is None or i in direct else Counter(text.split())
-                   for i, text in enumerate(texts)]
-    pieces = count_memo(path).trim()
-    counts = [sum([n * pieces[unit] for unit, n in frequency.items()])
-              for frequency in frequencies]
-    for i in direct:
-        counts[i] = len(tokenizer(path).encode(texts[i], add_special_tokens=False))
+    memo, counts = count_memo(path), []
+    for group in groups_of(texts):
+        direct = [bool(text) and encoded_whole(path, text) for text in group]
+        frequencies = [Counter(text.split()) if text and not whole else Counter()
+                       for text, whole in zip(group, direct)]
+        pieces = memo.learn(set().union(*frequencies))
+        for text, whole, frequency in zip(group, direct, frequencies):
+            counts.append(
+                len(tokenizer(path).encode(text, add_special_tokens=False)) if whole
+                else sum([n * pieces[unit] for unit, n in frequency.items()]))
     return counts
 
 
