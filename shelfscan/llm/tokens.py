@@ -3,17 +3,14 @@
 from __future__ import annotations
 
 from array import array
-from collections.abc import Iterator
 from functools import cache
 import os
 import re
 
 #: Pre-tokens in one generation of a memo; two generations are kept.
 MEMO_SIZE = 500_000
-#: Pre-tokens longer than this are not carried into the next generation.
+#: Pre-tokens longer than this are encoded each time.
 MEMO_CHARS = 64
-#: Characters of texts that are cut into pre-tokens at once.
-GROUP_CHARS = 2 << 20
 
 #: A byte-level pre-token never spans two of these units: a word with the blank before it, or
 #: white space. Splitting a unit is left to the library.
@@ -49,72 +46,54 @@ class Memo(dict):
     """Value of each pre-token, worked out once. Two generations bound the memory: what the
     younger one has not seen when it is full is forgotten later."""
 
-    def __init__(self, path: str, value):
+    def __init__(self, work):
         super().__init__()
-        self.path = path
-        self.value = value
+        self.work = work
         self.old: dict = {}
 
-    def learn(self, units: set[str]) -> Memo:
-        """Hold the values of all these pre-tokens; unknown ones are encoded in one call."""
-        self.trim()
-        unknown = []
-        for unit in units.difference(self):
-            value = self.old.get(unit)
-            if value is None:
-                unknown.append(unit)
-            else:
-                self[unit] = value
-        if unknown:
-            found = tokenizer(self.path).encode_batch_fast(unknown, add_special_tokens=False)
-            self.update(zip(unknown, map(self.value, found)))
-        return self
+    def __missing__(self, unit: str):
+        value = self.old.get(unit)
+        if value is None:
+            value = self.work(unit)
+        if len(unit) <= MEMO_CHARS:
+            self[unit] = value
+        return value
 
-    def trim(self) -> None:
+    def trim(self) -> Memo:
         """Begin a new generation when this one is full."""
         if len(self) > MEMO_SIZE:
-            self.old = {unit: v for unit, v in self.items() if len(unit) <= MEMO_CHARS}
+            self.old = dict(self)
             self.clear()
+        return self
 
 
 @cache
 def id_memo(path: str) -> Memo:
     """Lives as long as the Python worker."""
-    return Memo(path, lambda found: array("I", found.ids).tobytes())
+    encode = tokenizer(path).encode
+    return Memo(lambda unit: array("I", encode(unit, add_special_tokens=False).ids).tobytes())
 
 
 @cache
 def count_memo(path: str) -> Memo:
-    return Memo(path, len)
-
-
-def groups_of(texts: list[str | None]) -> Iterator[list[str | None]]:
-    """The texts in order, about ``GROUP_CHARS`` or one long text at a time."""
-    group, size = [], 0
-    for text in texts:
-        group.append(text)
-        size += len(text or "")
-        if size >= GROUP_CHARS:
-            yield group
-            group, size = [], 0
-    yield group
+    encode = tokenizer(path).encode
+    return Memo(lambda unit: len(encode(unit, add_special_tokens=False)))
 
 
-def encode_ids(path: str, texts: list[str | None]) -> Iterator[bytes]:
+def encode_ids(path: str, texts: list[str | None]) -> list[bytes]:
     """Ids of whole texts as little-endian unsigned 32-bit numbers; null gives none.
 
     For byte-level tokenizers without a normalizer. Equal to encoding each text by the library:
     its pre-tokens lie inside the units, and texts with special strings are encoded whole.
     """
-    memo = id_memo(path)
-    for group in groups_of(texts):
-        direct = [bool(text) and encoded_whole(path, text) for text in group]
-        units = [BYTE_LEVEL_UNIT.findall(text) if text and not whole else []
-                 for text, whole in zip(group, direct)]
-        get = memo.learn(set().union(*units)).__getitem__
-        for text, whole, parts in zip(group, direct, units):
-            if whole:
-                ids = tokenizer(path).encode(text, add_special_tokens=False).ids
-                yield array("I", ids).tobytes()
-            else:
-                yield b"".join(map(get, parts))
+    get = id_memo(path).trim().__getitem__
+    found = []
+    for text in texts:
+        if not text:
+            found.append(b"")
+        elif encoded_whole(path, text):
+            ids = tokenizer(path).encode(text, add_special_tokens=False).ids
+            found.append(array("I", ids).tobytes())
+        else:
+            found.append(b"".join(map(get, BYTE_LEVEL_UNIT.findall(text))))
+    return found
