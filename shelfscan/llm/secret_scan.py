@@ -10,6 +10,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 import hashlib
+from itertools import accumulate
 import math
 import re
 
@@ -77,22 +78,33 @@ def near(parts: list[tuple[int, int]], others: list[tuple[int, int]],
     return found
 
 
+def apart(spans: list[tuple[int, int]],
+          others: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The spans that overlap none of the others, which are sorted by start."""
+    begins = [begin for begin, _ in others]
+    reach = list(accumulate((end for _, end in others), max))
+    found = []
+    for begin, end in spans:
+        last = bisect_left(begins, end) - 1
+        if last < 0 or reach[last] <= begin:
+            found.append((begin, end))
+    return found
+
+
 def linked_spans(text: str, base: list[Span]) -> list[Span]:
     """Weak candidates whose complementary parts stand in one scope."""
     taken = [(start, end) for start, _, end in base]
 
     def weak(pattern, test=None):
-        spans = [m.span() for m in pattern.finditer(text) if test is None or test(m.group())]
-        return [(a, b) for a, b in spans if not any(a < y and x < b for x, y in taken)] \
-            if taken else spans
+        return apart([m.span() for m in pattern.finditer(text)
+                      if test is None or test(m.group())], taken)
 
     identifiers = weak(IDENTIFIER)
     endpoints = weak(ENDPOINT) if "://" in text else []
     strong_identifiers = [(s, e) for s, kind, e in base if kind == 1]
     if not (identifiers or endpoints or strong_identifiers):
         return []
-    secrets = [span for span in weak(SECRET, random_looking)
-               if not any(span[0] < y and x < span[1] for x, y in identifiers + endpoints)]
+    secrets = apart(weak(SECRET, random_looking), sorted(identifiers + endpoints))
     all_identifiers = sorted(identifiers + strong_identifiers)
     all_secrets = sorted(secrets + [(s, e) for s, kind, e in base if kind != 1])
     walls = [m.end() for m in PARAGRAPH.finditer(text)]

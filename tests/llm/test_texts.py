@@ -1,6 +1,7 @@
 """Secrets, language, pages and the pipeline on odd rows; held-out accuracy."""
 
 import hashlib
+import random
 
 from pyspark.sql import functions as F
 import pytest
@@ -124,3 +125,12 @@ def test_pipeline_runs_through(spark, sf_dir):
     assert {"doc_id", "sequence_id", "offset", "length"} <= set(found.columns)
     used = found.groupBy("sequence_id").agg(F.sum("length").alias("n"))
     assert used.agg(F.max("n")).first()[0] <= 1024
+
+
+def test_spans_apart_equal_a_comparison_of_all():
+    rng = random.Random(8)
+    for _ in range(300):
+        spans, others = ([(a, a + rng.randint(1, 6)) for a in rng.choices(range(40), k=n)]
+                         for n in (8, rng.randint(0, 6)))
+        assert secret_scan.apart(spans, sorted(others)) == [
+            (a, b) for a, b in spans if not any(a < y and x < b for x, y in others)]
