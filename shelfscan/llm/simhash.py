@@ -6,8 +6,9 @@ parted into six blocks; two differences leave four blocks equal, so fingerprints
 2**22 distinct fingerprints, however many documents there are. Groups are searched through the Gray
 index and give one link per fingerprint.
 
-``near_duplicates`` works at a similarity of word shingles: 1024 bits are enough to estimate it,
-and documents meet when one of 64 bands of 16 bits is equal.
+``near_duplicates`` works at a similarity of word shingles. Documents meet when one of 64 bands of
+16 bits is equal; 1024 bits estimate the similarity and form loose components. Inside these, a pair
+counts when its shingle sets reach the similarity exactly.
 """
 
 from __future__ import annotations
@@ -38,6 +39,10 @@ BANDS = 64
 SMALL_SET = 32
 #: Bits of the first 64 that may differ before the full signature is looked at.
 LOOSE_BITS = 20
+#: How far the estimate from the bits, whose spread is about 0.026, may stay below the similarity.
+LOOSE = 0.15
+#: Shingles of one block of a loose component, about.
+BLOCK_SHINGLES = 1 << 20
 #: Rows up to which a bucket is small: all are compared at once with those of other small ones.
 SMALL_BUCKET = 64
 #: Rows of one large bucket that are compared with each other at once.
@@ -188,14 +193,21 @@ def signature(text: str | None, words: int = NEAR_WORDS) -> tuple[int, bytes]:
     return len(hashes), bits + small
 
 
+def estimated(bits: np.ndarray, sizes: np.ndarray, i: np.ndarray, j: np.ndarray,
+              similarity: float) -> np.ndarray:
+    """Whether the rows i and j reach the similarity by their bits."""
+    angle = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1) * (math.pi / (16 * BANDS))
+    a, b = sizes[i].astype(float), sizes[j].astype(float)
+    both = np.minimum(np.cos(angle) * np.sqrt(a * b), np.minimum(a, b))
+    return (both >= similarity * (a + b - both)) & (
+        np.minimum(a, b) >= similarity * np.maximum(a, b))
+
+
 def similar(bits: np.ndarray, sizes: np.ndarray, sets: list, i: np.ndarray, j: np.ndarray,
             similarity: float) -> np.ndarray:
     """Whether the rows i and j reach the similarity: exact for small sets, else estimated."""
-    angle = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1) * (math.pi / (16 * BANDS))
+    hit = estimated(bits, sizes, i, j, similarity)
     a, b = sizes[i].astype(float), sizes[j].astype(float)
-    both = np.minimum(np.cos(angle) * np.sqrt(a * b), np.minimum(a, b))
-    hit = both >= similarity * (a + b - both)
-    hit &= np.minimum(a, b) >= similarity * np.maximum(a, b)
     exact = np.flatnonzero((sizes[i] <= SMALL_SET) & (sizes[j] <= SMALL_SET)
                            & (np.minimum(a, b) >= similarity * np.maximum(a, b)))
     for k in exact.tolist():
@@ -322,6 +334,97 @@ def _large_links(bits, sizes, sets, begin: int, end: int, similarity: float):
     return begin + moved, begin + label[moved]
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``block, i, j`` for ``shares``: the rows of a key fall into so many blocks, and
+    each block meets itself and every other one, as the pair i <= j."""
+    return (rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("shares")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)))
+            .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+            .drop("shares", "other"))
+
+
+def reaches(one: np.ndarray, two: np.ndarray, similarity: float) -> bool:
+    """Whether two sets of shingles, as different hashes, reach the similarity."""
+    shared = len(np.intersect1d(one, two, assume_unique=True))
+    return shared >= similarity * (len(one) + len(two) - shared)
+
+
+def exact_links(bits: np.ndarray, sets: list[np.ndarray], cut: int, similarity: float
+                ) -> tuple[list[int], list[int]]:
+    """Similar rows, as many as span their components: those before ``cut`` against the others, or
+    all against each other if it is the number of rows."""
+    n = len(sets)
+    sizes, label = np.array([len(s) for s in sets]), np.arange(n)
+    left, right = [], []
+    for i in range(cut):
+        two = np.arange(cut if cut < n else i + 1, n)
+        two = two[label[two] != label[i]]
+        one = np.full(len(two), i)
+        maybe = estimated(bits, sizes, one, two, similarity - LOOSE)
+        maybe |= np.maximum(sizes[one], sizes[two]) <= SMALL_SET
+        maybe &= np.minimum(sizes[one], sizes[two]) >= similarity * np.maximum(sizes[one], sizes[two])
+        for j in two[maybe].tolist():
+            if label[j] != label[i] and reaches(sets[i], sets[j], similarity):
+                left.append(i)
+                right.append(j)
+                label[label == label[j]] = label[i]
+    return left, right
+
+
+def verified_links(docs: DataFrame, nodes: DataFrame, loose: DataFrame, words: int,
+                   similarity: float) -> DataFrame:
+    """``a, b``: nodes that reach the similarity on their shingles, within what the links ``loose``
+    connect."""
+    root = connected(loose)
+    members = (root.select(F.col("a").alias("node"), F.col("b").alias("root"))
+               .union(root.select("b", "b").distinct()).join(nodes, "node"))
+    shares = members.groupBy("root").agg(F.ceil(F.greatest(
+        F.count("*") / BLOCK_ROWS, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("shares"))
+    members = members.join(shares, "root").select(
+        "root", "node", "shares", "sig", F.col("least.doc_id").alias("id"), F.col("least.h").alias("own"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                        F.xxhash64("text").alias("h"), "text")
+    # repeated rows come once
+    found = texts.join(members, texts["doc_id"].eqNullSafe(members["id"])
+                       & (texts["h"] == members["own"])).groupBy("root", "node", "shares", "sig").agg(
+        F.first("text").alias("text"))
+
+    def make():
+        def step(columns):
+            *kept, sigs, texts = columns
+            return [*kept, [s[:2 * BANDS] for s in sigs],
+                    [np.unique(shingle_hashes(t, words)).astype("<u8").tobytes() for t in texts]]
+
+        return step
+
+    sets = arrow_pass(found.select("root", "node", "shares", "sig", "text"),
+                      "root long, node long, shares int, bits binary, hashes binary", make)
+    schema = arrow_schema(docs.sparkSession, "a long, b long")
+
+    def run(batches):
+        for table in groups_in(batches, ["root", "i", "j"], 1):
+            root, i, j = (table.column(c).to_numpy() for c in ("root", "i", "j"))
+            node, block = table.column("node").to_numpy(), table.column("block").to_numpy()
+            bits = np.array([np.frombuffer(b.as_buffer(), "<u8") for b in table.column("bits")])
+            sets = [np.frombuffer(b.as_buffer(), "<u8") for b in table.column("hashes")]
+            new = (np.diff(root) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)
+            edge = [0, *(np.flatnonzero(new) + 1).tolist(), len(root)]
+            a, b = [], []
+            for low, high in zip(edge, edge[1:]):
+                cut = int((block[low:high] == i[low]).sum())
+                if cut == high - low and i[low] != j[low]:
+                    continue
+                left, right = exact_links(bits[low:high], sets[low:high], cut, similarity)
+                a += [low + k for k in left]
+                b += [low + k for k in right]
+            yield pa.RecordBatch.from_arrays(
+                [node[np.array(a, dtype=np.int64)], node[np.array(b, dtype=np.int64)]], schema=schema)
+
+    ordered = dealt(sets).repartition("root", "i", "j").sortWithinPartitions(
+        "root", "i", "j", "block", "node")
+    return ordered.mapInArrow(run, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, words: int = NEAR_WORDS, similarity: float = SIMILARITY
                     ) -> DataFrame:
     """``doc_id, h`` of the document that stands for each group; h is the hash of its text.
@@ -329,7 +432,8 @@ def near_duplicates(docs: DataFrame, words: int = NEAR_WORDS, similarity: float
     Documents without words are copies of each other. The first ``doc_id`` stands for a group.
     """
     nodes = signed_nodes(docs, words)
-    root = connected(links_of_nodes(nodes, similarity))
+    loose = stored(links_of_nodes(nodes, similarity - LOOSE), "loose")
+    root = connected(verified_links(docs, nodes, loose, words, similarity))
     rooted = nodes.join(root.select(F.col("a").alias("node"), F.col("b").alias("root")),
                         "node", "left")
     return (rooted.groupBy(F.coalesce("root", "node").alias("root"))

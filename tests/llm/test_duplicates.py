@@ -153,6 +153,44 @@ def test_near_duplicates_keep_one_of_each_group(spark):
     assert simhash.drop_near_duplicates(frame.limit(0)).count() == 0
 
 
+def shingle_set(text, words=5):
+    w = text.split()
+    return {tuple(w[i:i + words]) for i in range(len(w) - words + 1)}
+
+
+def test_near_duplicates_are_decided_on_their_shingles(spark):
+    """Pairs just below the similarity stay, those at it that meet in a band do not."""
+    prepare(spark)
+    rng = random.Random(12)
+    rows, below, reached = [], set(), set()
+    for n in range(120):
+        # of 90 shingles each, 10 new words at the end leave 80 (0.8), 11 leave 79 (0.782)
+        new = (10, 11)[n % 2]
+        base = [f"w{rng.randrange(10**9)}" for _ in range(94)]
+        pair = [" ".join(base), " ".join(base[:-new] + [f"v{rng.randrange(10**9)}" for _ in range(new)])]
+        a, b = map(shingle_set, pair)
+        one, two = (np.frombuffer(simhash.signature(t)[1], "<u2", simhash.BANDS) for t in pair)
+        if len(a & b) / len(a | b) < 0.8:
+            below.add(2 * n + 1)
+        elif (one == two).any():
+            reached.add(2 * n + 1)
+        rows += [(2 * n, pair[0]), (2 * n + 1, pair[1])]
+    assert len(below) == 60 and len(reached) > 50
+    kept = {r.doc_id for r in simhash.drop_near_duplicates(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert below <= kept and not reached & kept
+    assert {n for n in range(0, 240, 2)} <= kept
+
+
+def test_all_pairs_of_dealt_rows_meet(spark):
+    rows = simhash.dealt(spark.range(40).select(F.col("id").alias("node"), F.lit(3).alias("shares")))
+    groups = {}
+    for r in rows.collect():
+        groups.setdefault((r.i, r.j), set()).add(r.node)
+    met = {(a, b) for g in groups.values() for a in g for b in g}
+    assert met == {(a, b) for a in range(40) for b in range(40)} and len(groups) == 6
+
+
 def test_large_buckets_are_linked_in_blocks(monkeypatch):
     monkeypatch.setattr(simhash, "BLOCK_ROWS", 10)
     rng = random.Random(3)
