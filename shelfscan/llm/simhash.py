@@ -45,8 +45,10 @@ LOOSE = 0.15
 BLOCK_SHINGLES = 1 << 20
 #: Rows up to which a bucket is small: all are compared at once with those of other small ones.
 SMALL_BUCKET = 64
-#: Rows of one large bucket that are compared with each other at once.
+#: Rows of a block, about: larger buckets and components are dealt into pairs of blocks.
 BLOCK_ROWS = 2048
+#: Rows up to which a bucket is searched for loosely near ones; larger buckets go on whole.
+MEET_ROWS = 8192
 
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
@@ -247,10 +249,12 @@ def met_in_bands(nodes: DataFrame) -> DataFrame:
 
         return step
 
-    banded = arrow_pass(nodes.where("n > 0").select("node", "sig"),
-                        "node long, bands array<int>, code long", make)
+    banded = stored(arrow_pass(nodes.where("n > 0").select("node", "sig"),
+                               "node long, bands array<int>, code long", make), "bands")
     rows = banded.select("node", "code", F.posexplode("bands").alias("band", "value")).select(
         (F.col("band") * 65536 + F.col("value")).alias("bucket"), "node", "code")
+    large = F.broadcast(rows.groupBy("bucket").count().where(F.col("count") > MEET_ROWS)
+                        .select("bucket"))
     schema = arrow_schema(spark, "bucket int, node long")
 
     def run(batches):
@@ -263,35 +267,46 @@ def met_in_bands(nodes: DataFrame) -> DataFrame:
                 met[i] = met[j] = True
             yield pa.RecordBatch.from_arrays([bucket[met], node[met]], schema=schema)
 
-    # ranges part a large bucket, too: other bands link what a border parts
-    ordered = rows.repartitionByRange("bucket", "code").sortWithinPartitions("bucket", "code")
-    return ordered.mapInArrow(run, "bucket int, node long")
+    ordered = (rows.join(large, "bucket", "left_anti").repartition("bucket")
+               .sortWithinPartitions("bucket", "code"))
+    return ordered.mapInArrow(run, "bucket int, node long").union(
+        rows.join(large, "bucket", "left_semi").select("bucket", "node"))
 
 
 def links_of_nodes(nodes: DataFrame, similarity: float) -> DataFrame:
-    """``a, b``: each node with the first of its similar ones in a bucket."""
+    """``a, b``: similar nodes of a bucket, as many as span what is connected there.
+
+    Each pair of nodes in a bucket is compared, unless other pairs connect it already."""
     spark = nodes.sparkSession
-    met = stored(met_in_bands(nodes), "met").join(nodes.select("node", "n", "sig"), "node")
+    met = stored(met_in_bands(nodes), "met")
+    large = F.broadcast(met.groupBy("bucket").count().where(F.col("count") > BLOCK_ROWS).select(
+        "bucket", F.ceil(F.col("count") / BLOCK_ROWS).cast("int").alias("shares")))
+    shared = met.join(large, "bucket", "left").withColumn("shares", F.coalesce("shares", F.lit(1)))
     schema = arrow_schema(spark, "a long, b long")
 
     def run(batches):
-        for table in groups_in(batches, ["bucket"], 4 * BLOCK_ROWS):
-            bucket, node = table.column("bucket").to_numpy(), table.column("node").to_numpy()
+        for table in groups_in(batches, ["bucket", "i", "j"], 4 * BLOCK_ROWS):
+            bucket, i, j = (table.column(c).to_numpy() for c in ("bucket", "i", "j"))
+            node, block = table.column("node").to_numpy(), table.column("block").to_numpy()
             sizes = table.column("n").to_numpy()
             sigs = table.column("sig").to_pylist()
             bits = np.array([np.frombuffer(s, "<u8", BANDS // 4) for s in sigs])
             sets = [set(np.frombuffer(s, "<u8", offset=2 * BANDS).tolist()) for s in sigs]
-            edge = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]))
+            new = (np.diff(bucket) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)
+            group = np.concatenate(([0], np.cumsum(new)))
+            edge = np.concatenate(([0], np.flatnonzero(new) + 1, [len(bucket)]))
             long = np.diff(edge) > SMALL_BUCKET
-            found = [_small_links(bits, sizes, sets, bucket, np.repeat(~long, np.diff(edge)),
+            found = [_small_links(bits, sizes, sets, group, np.repeat(~long, np.diff(edge)),
                                   similarity)]
-            found += [_large_links(bits, sizes, sets, begin, end, similarity)
-                      for begin, end in zip(edge[:-1][long], edge[1:][long])]
+            for begin, end in zip(edge[:-1][long], edge[1:][long]):
+                cut = int((block[begin:end] == i[begin]).sum()) if i[begin] != j[begin] else 0
+                found.append(_large_links(bits, sizes, sets, begin, end, similarity, cut))
             label = components(len(bucket), *map(np.concatenate, zip(*found)))
             moved = np.flatnonzero(label != np.arange(len(label)))
             yield pa.RecordBatch.from_arrays([node[moved], node[label[moved]]], schema=schema)
 
-    ordered = met.repartitionByRange("bucket", "node").sortWithinPartitions("bucket", "node")
+    ordered = (dealt(shared).join(nodes.select("node", "n", "sig"), "node")
+               .repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "block", "node"))
     return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
@@ -310,26 +325,19 @@ def _small_links(bits, sizes, sets, bucket, small, similarity):
     return np.concatenate(left), np.concatenate(right)
 
 
-def _large_links(bits, sizes, sets, begin: int, end: int, similarity: float):
-    """Links inside one bucket: blocks are compared within, and each block with one row of every
-    component before it."""
+def _large_links(bits, sizes, sets, begin: int, end: int, similarity: float, cut: int = 0):
+    """Links inside one bucket: the first ``cut`` rows are compared with the others, or all with
+    each other if it is 0. Rows that are connected already are left out."""
     n = end - begin
     own, label = np.arange(n), np.arange(n)
-    heads = own[:0]
-    for low in range(0, n, BLOCK_ROWS):
-        rows = np.arange(low, min(low + BLOCK_ROWS, n))
+    for low in range(0, cut or n, 64):
+        one, two = own[low:min(low + 64, cut or n)], own[cut or low:]
+        i, j = np.repeat(one, len(two)), np.tile(two, len(one))
+        apart = label[i] != label[j]
+        i, j = i[apart], j[apart]
+        hit = similar(bits, sizes, sets, begin + i, begin + j, similarity)
         moved = np.flatnonzero(label != own)
-        left, right = [moved], [label[moved]]
-        for at in range(0, len(rows), 64):
-            one, two = rows[at:at + 64], np.concatenate((heads, rows[at:]))
-            i, j = np.repeat(one, len(two)), np.tile(two, len(one))
-            apart = i != j
-            i, j = i[apart], j[apart]
-            hit = similar(bits, sizes, sets, begin + i, begin + j, similarity)
-            left.append(i[hit])
-            right.append(j[hit])
-        label = components(n, np.concatenate(left), np.concatenate(right))
-        heads = np.unique(label[:rows[-1] + 1])
+        label = components(n, np.concatenate((moved, i[hit])), np.concatenate((label[moved], j[hit])))
     moved = np.flatnonzero(label != own)
     return begin + moved, begin + label[moved]
 

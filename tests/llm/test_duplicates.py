@@ -203,6 +203,32 @@ def test_large_buckets_are_linked_in_blocks(monkeypatch):
     assert label.tolist() == [0] * 45 + [45]
 
 
+def test_links_through_rows_that_are_no_heads(monkeypatch):
+    """The first row and the last are linked by the second only, which is no head in its block."""
+    monkeypatch.setattr(simhash, "BLOCK_ROWS", 1)
+    base = [f"w{n}" for n in range(300)]
+    texts = [base[:-22] + [f"x{n}" for n in range(22)], base, [f"y{n}" for n in range(22)] + base[22:]]
+    made = [simhash.signature(" ".join(t)) for t in texts]
+    bits = np.array([np.frombuffer(s, "<u8", simhash.BANDS // 4) for _, s in made])
+    sizes = np.array([n for n, _ in made])
+    links = lambda rows: components(len(rows), *simhash._large_links(
+        bits[rows], sizes[rows], [set()] * len(rows), 0, len(rows), 0.8)).tolist()
+    assert links([0, 1]) == links([1, 2]) == [0, 0] and links([0, 2]) == [0, 1]
+    assert links([0, 1, 2]) == [0, 0, 0]
+
+
+def test_large_buckets_are_dealt_whole(spark, monkeypatch):
+    """Blocks of few rows and buckets that are not searched give the same groups."""
+    prepare(spark)
+    monkeypatch.setattr(simhash, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(simhash, "MEET_ROWS", 20)
+    base = [f"w{n}" for n in range(300)]
+    rows = [(n, " ".join(base[:3 * n] + [f"v{n}"] + base[3 * n + 1:])) for n in range(90)]
+    rows.append((90, " ".join(base[::-1])))
+    kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 90]
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(n, n + 1) for n in range(100, 160)] + [(7, n) for n in range(10, 40)] + [(5, 5), (3, 2), (2, 3)]
     found = {r.a: r.b for r in connected(spark.createDataFrame(edges, "a long, b long")).collect()}
