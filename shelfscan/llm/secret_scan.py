@@ -29,8 +29,10 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 
 IDENTIFIER = re.compile(
     r"""\b(?:A[KS]IA[A-Z0-9]{8,}|(?:access_?key(?:_?id)?|client_?id|account_?id|user(?:name)?)"""
-    r"""["']?\x20*[:=]\x20*["']?[A-Za-z0-9._@+-]{4,})""")
-SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,128}={0,2}(?![A-Za-z0-9+/_=-])")
+    r"""["']?\x20*[:=]\x20*["']?[A-Za-z0-9._@+-]{4,}|"""
+    r"""(?i:account_?name)["']?\x20*[:=]\x20*["']?[A-Za-z0-9._@+-]+)""")
+#: May stand right after "=", as in key=value; the key itself is followed by more and no secret.
+SECRET = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}(?![A-Za-z0-9+/_=-])")
 ENDPOINT = re.compile(r"""\b[a-z][a-z0-9+.-]{1,20}://[^\s"'<>()]{4,}""")
 PARAGRAPH = re.compile(r"\n\s*\n")
 
