@@ -7,7 +7,7 @@ parted into six blocks; two differences leave four blocks equal, so fingerprints
 index and give one link per fingerprint.
 
 ``near_duplicates`` works at a similarity of word shingles. Documents meet when one of 64 bands of
-16 bits is equal; 1024 bits estimate the similarity and form loose components. Inside these, a pair
+16 bits is equal, and small sets of shingles also under their least hashes; 1024 bits estimate the similarity and form loose components. Inside these, a pair
 counts when its shingle sets reach the similarity exactly.
 """
 
@@ -236,6 +236,23 @@ def signed_nodes(docs: DataFrame, words: int) -> DataFrame:
         .withColumn("node", F.xxhash64("n", "sig")), "signatures")
 
 
+def met_in_prefixes(nodes: DataFrame, similarity: float) -> DataFrame:
+    """``bucket, node`` under the least shingle hashes of small sets: two sets that reach the
+    similarity share one of these."""
+    def make():
+        def step(columns):
+            node, sizes, sigs = columns
+            keys = [np.frombuffer(s, "<i8", offset=2 * BANDS)[:n - math.ceil(similarity * n - 1e-9) + 1]
+                    .tolist() for n, s in zip(sizes, sigs)]
+            return [node, keys]
+
+        return step
+
+    small = nodes.where(F.col("n").between(1, SMALL_SET)).select("node", "n", "sig")
+    keyed = arrow_pass(small, "node long, keys array<long>", make)
+    return keyed.select(F.explode("keys").alias("bucket"), "node")
+
+
 def met_in_bands(nodes: DataFrame) -> DataFrame:
     """``bucket, node``: nodes that are loosely near another one of their bucket."""
     spark = nodes.sparkSession
@@ -278,7 +295,8 @@ def links_of_nodes(nodes: DataFrame, similarity: float) -> DataFrame:
 
     Each pair of nodes in a bucket is compared, unless other pairs connect it already."""
     spark = nodes.sparkSession
-    met = stored(met_in_bands(nodes), "met")
+    met = stored(met_in_bands(nodes).withColumn("bucket", F.col("bucket").cast("long"))
+                 .union(met_in_prefixes(nodes, similarity)), "met")
     large = F.broadcast(met.groupBy("bucket").count().where(F.col("count") > BLOCK_ROWS).select(
         "bucket", F.ceil(F.col("count") / BLOCK_ROWS).cast("int").alias("shares")))
     shared = met.join(large, "bucket", "left").withColumn("shares", F.coalesce("shares", F.lit(1)))

@@ -182,6 +182,22 @@ def test_near_duplicates_are_decided_on_their_shingles(spark):
     assert {n for n in range(0, 240, 2)} <= kept
 
 
+def test_short_near_duplicates_are_all_found(spark):
+    """4 against 5 shingles, exactly 0.8, share no band in about a tenth of the pairs."""
+    prepare(spark)
+    rng = random.Random(13)
+    rows, apart = [], 0
+    for n in range(150):
+        words = [f"w{rng.randrange(10**9)}" for _ in range(9)]
+        pair = [" ".join(words[:8]), " ".join(words)]
+        one, two = (np.frombuffer(simhash.signature(t)[1], "<u2", simhash.BANDS) for t in pair)
+        apart += not (one == two).any()
+        rows += [(2 * n, pair[0]), (2 * n + 1, pair[1])]
+    assert apart
+    kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(0, 300, 2))
+
+
 def test_all_pairs_of_dealt_rows_meet(spark):
     rows = simhash.dealt(spark.range(40).select(F.col("id").alias("node"), F.lit(3).alias("shares")))
     groups = {}
