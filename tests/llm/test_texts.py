@@ -122,6 +122,17 @@ def test_pages_by_the_wrapper_of_their_host(spark):
     assert "<h1>#PCDATA</>" in wrapper and "<p>'Fixed line'</>" in wrapper
 
 
+def test_copies_of_a_page_count_once_in_the_sample(spark):
+    """The page that comes first in the sample has as many copies as the sample has places."""
+    prepare(spark)
+    rows = [(n, f"https://a.example/{n}", PAGE.replace("{0}", f"number {n}")) for n in range(6)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    least = pages.orderBy(F.xxhash64("html")).first()
+    rows += [(100 + n, f"https://a.example/c{n}", least.html) for n in range(wrappers.SAMPLE_PAGES)]
+    found = wrappers.extract_text(spark.createDataFrame(rows, pages.schema)).collect()
+    assert len(found) == len(rows) and not any("Fixed line" in r.text for r in found)
+
+
 def test_wrapper_has_repeated_and_optional_groups():
     pages = ["<ul><li>a<li>b</ul><p>x", "<ul><li>c</ul><h2>t</h2><p>x", "<ul><li>a<li>d<li>e</ul><p>x"]
     assert str(wrappers.infer(pages)) == "<#root><ul>(<li>#PCDATA</>)+</>(<h2>'t'</>)?<p>'x'</></>"
