@@ -1,6 +1,7 @@
 """Secrets, language, pages and the pipeline on odd rows; held-out accuracy."""
 
 import hashlib
+import json
 import random
 
 from pyspark.sql import functions as F
@@ -133,6 +134,16 @@ def test_copies_of_a_page_count_once_in_the_sample(spark):
     assert len(found) == len(rows) and not any("Fixed line" in r.text for r in found)
 
 
+def test_articles_that_the_sample_lacks_are_kept():
+    news = "<article class='post category-news'><p>News number {0} of the day</p></article>"
+    rules = json.dumps(wrappers.rules_of(wrappers.infer(
+        [f"<body>{news.replace('{0}', str(n))}</body>" for n in range(8)])))
+    page = news + "<article class='post category-sport'><p>Sport of today</p></article>"
+    assert wrappers.extract(f"<body>{page}</body>", rules) == "News number {0} of the day Sport of today"
+    lead = "<body><div class=lead><article><p>The lead</p></article></div>" + news + "</body>"
+    assert wrappers.extract(lead, rules) == "The lead News number {0} of the day"
+
+
 def test_wrapper_has_repeated_and_optional_groups():
     pages = ["<ul><li>a<li>b</ul><p>x", "<ul><li>c</ul><h2>t</h2><p>x", "<ul><li>a<li>d<li>e</ul><p>x"]
     assert str(wrappers.infer(pages)) == "<#root><ul>(<li>#PCDATA</>)+</>(<h2>'t'</>)?<p>'x'</></>"
