@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 import public_tokenizers
 
 from shelfscan.llm import (
@@ -16,7 +17,9 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substrings.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+    """What remains is given as ``text``, too; bytes of characters cut apart become U+FFFD there."""
+    found = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.withColumn("text", F.expr("make_valid_utf8(cast(kept AS string))")).drop("kept")
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
