@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from shelfscan.llm import (
-    decontamination, language, lattice, packing, records, secret_scan, simhash, substrings,
-    token_counts, wrappers)
+    decontamination, language, lattice, merkle, oracles, packing, records, secret_scan, simhash,
+    substrings, token_counts, wrappers)
 from shelfscan.llm.common import table
 from shelfscan.session import fresh_folder
 
@@ -61,8 +61,16 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of ids with an even checksum are held against the manifest without their line ends."""
+    number = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    tampered = F.crc32(number.cast("binary")) % 2 == 0
+    return merkle.audit(table(spark, sf_dir, "documents"), F.when(
+        tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text")))
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_substrings, op2_packing, op3_token_records, op4_simhash, op5_language, op6_wrappers,
-        op7_token_counts, op8_lattice, op9_secrets, op10_decontamination)}
-ORACLES: dict[str, str] = {}
+        op7_token_counts, op8_lattice, op9_secrets, op10_decontamination, op11_merkle)}
+ORACLES: dict[str, str] = {"op11_merkle": oracles.MERKLE}
