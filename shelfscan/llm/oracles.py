@@ -72,3 +72,39 @@ CROSS JOIN root r
 JOIN fold f ON f.source IS NOT DISTINCT FROM l.source AND f.i = l.i AND f.step = s.levels + r.levels
 LEFT JOIN proof p ON p.source IS NOT DISTINCT FROM l.source AND p.i = l.i
 """
+
+TRIE = f"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS p FROM conversations),
+convs AS (SELECT conv_id, {crc32("conv_id::VARCHAR")} % 9 AS h
+          FROM (SELECT DISTINCT conv_id FROM conversations)),
+parts AS (
+  SELECT c.conv_id, 0 AS own, t.p, t.role, t.text
+  FROM convs c JOIN turns t ON t.conv_id = c.conv_id - c.conv_id % 5 AND t.p <= c.h
+  UNION ALL
+  SELECT c.conv_id, 1, t.p, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.p > c.h),
+rebuilt AS (
+  SELECT c.conv_id, coalesce(list({{'role': role, 'text': text}} ORDER BY own, p) FILTER (own IS NOT NULL), [])
+    AS turns FROM convs c LEFT JOIN parts x ON x.conv_id = c.conv_id GROUP BY c.conv_id),
+prefixes AS (
+  SELECT conv_id, unnest(range(len(turns) + 1)) AS depth, turns FROM rebuilt),
+nodes AS (
+  SELECT turns[1:depth] AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)
+                FILTER (len(turns) = depth), '')) AS ends_sha256,
+         (count(*) - 1) * coalesce(octet_length(encode(any_value(turns[depth].text))), 0) AS saved
+  FROM prefixes GROUP BY ALL),
+families AS (
+  SELECT p.path, count(*) AS n_children FROM nodes p
+  JOIN nodes c ON c.depth = p.depth + 1 AND c.path[1:p.depth] = p.path GROUP BY p.path),
+trees AS (
+  SELECT p.path, sum(c.saved) AS saved, count(*) FILTER (f.path IS NULL) AS n_leaves
+  FROM nodes p JOIN nodes c ON c.depth >= p.depth AND c.path[1:p.depth] = p.path
+  LEFT JOIN families f ON f.path = c.path GROUP BY p.path)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs,
+       coalesce(f.n_children, 0) AS n_children, t.n_leaves, t.saved::BIGINT AS saved_tokens,
+       n.ends_sha256
+FROM nodes n JOIN trees t ON t.path = n.path LEFT JOIN families f ON f.path = n.path
+LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = n.path[1:n.depth - 1]
+"""

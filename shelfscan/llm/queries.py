@@ -8,7 +8,7 @@ import public_tokenizers
 
 from shelfscan.llm import (
     decontamination, language, lattice, merkle, oracles, packing, records, secret_scan, simhash,
-    substrings, token_counts, wrappers)
+    substrings, token_counts, trie, wrappers)
 from shelfscan.llm.common import table
 from shelfscan.session import fresh_folder
 
@@ -69,8 +69,12 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
         tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text")))
 
 
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(trie.spliced(trie.sequences(table(spark, sf_dir, "conversations"))))
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_substrings, op2_packing, op3_token_records, op4_simhash, op5_language, op6_wrappers,
-        op7_token_counts, op8_lattice, op9_secrets, op10_decontamination, op11_merkle)}
-ORACLES: dict[str, str] = {"op11_merkle": oracles.MERKLE}
+        op7_token_counts, op8_lattice, op9_secrets, op10_decontamination, op11_merkle, op12_trie)}
+ORACLES: dict[str, str] = {"op11_merkle": oracles.MERKLE, "op12_trie": oracles.TRIE}
