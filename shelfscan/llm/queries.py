@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from shelfscan.llm import (
-    decontamination, language, lattice, merkle, oracles, packing, records, secret_scan, simhash,
-    substrings, token_counts, trie, wrappers)
+    decontamination, language, lattice, merkle, oracles, packing, quality, records, secret_scan,
+    simhash, substrings, token_counts, trie, wrappers)
 from shelfscan.llm.common import table
 from shelfscan.session import fresh_folder
 
@@ -73,8 +73,14 @@ def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefix_trie(trie.spliced(trie.sequences(table(spark, sf_dir, "conversations"))))
 
 
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score_quality(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_substrings, op2_packing, op3_token_records, op4_simhash, op5_language, op6_wrappers,
-        op7_token_counts, op8_lattice, op9_secrets, op10_decontamination, op11_merkle, op12_trie)}
+        op7_token_counts, op8_lattice, op9_secrets, op10_decontamination, op11_merkle, op12_trie,
+        op13_quality)}
 ORACLES: dict[str, str] = {"op11_merkle": oracles.MERKLE, "op12_trie": oracles.TRIE}
