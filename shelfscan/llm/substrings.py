@@ -8,8 +8,10 @@ anchor on by hashed comparison, and neighbours in that order are compared to the
 anchor, as far as their agreement on the right can make a window. Agreements are verified on the
 bytes.
 
-An anchor with more than ``GROUP`` different stretches is not gathered in one task. Its windows are
-counted one by one by their digest, which spreads it over the cluster.
+An anchor with more than ``GROUP`` different stretches is not gathered in one task. It is split by
+further bytes: its windows are halved by how far they begin before the anchor, and the members of
+each half are parted by the bytes that all its windows hold. Members that say the same about a half
+count as one. What is still too large is split again; a half of one window has one member.
 """
 
 from __future__ import annotations
@@ -28,7 +30,9 @@ from shelfscan.llm.suffixes import Hashed, merge_sort
 
 LENGTH = 400
 GRAM = 64
-GROUP = 4096
+GROUP = 1024
+#: A window begins at most this far before its anchor.
+MOST_LEAD = LENGTH - GRAM
 #: Window starts of a text that are worked on at once.
 CHUNK = 1 << 20
 
@@ -190,52 +194,83 @@ def stretches_of(members: DataFrame, docs: DataFrame) -> DataFrame:
                       make)
 
 
-SOLVED = "gram long, stretch long, first int, last int"
+SORTED = "node long, content long, first int, last int"
+PIECES = ("node long, content long, gram long, stretch long, shift int, lead int, size int, low int, "
+          "high int, data binary")
 
 
 def sorted_starts(rows: DataFrame) -> DataFrame:
-    """``gram, stretch, first, last`` from sorting the suffixes of each anchor."""
-    schema = arrow_schema(rows.sparkSession, SOLVED)
+    """``node, content, first, last`` from sorting the suffixes of each node's members."""
+    schema = arrow_schema(rows.sparkSession, SORTED)
 
     def run(batches):
-        for table in groups_in(batches, ["gram"], 4000):
-            gram, stretch = table.column("gram").to_numpy(), table.column("stretch").to_numpy()
-            new = np.concatenate(([True], (gram[1:] != gram[:-1]) | (stretch[1:] != stretch[:-1])))
+        for table in groups_in(batches, ["node"], 4000):
+            node, content = table.column("node").to_numpy(), table.column("content").to_numpy()
+            new = np.concatenate(([True], (node[1:] != node[:-1]) | (content[1:] != content[:-1])))
             table = table.filter(pa.array(new))  # repeated rows of a document
-            gram, stretch = gram[new], stretch[new]
+            node, content = node[new], content[new]
             found = repeated_starts(
                 table.column("data").to_pylist(),
                 table.column("lead").to_numpy().astype(np.int64),
-                table.column("size").to_numpy().astype(np.int64), gram)
+                table.column("size").to_numpy().astype(np.int64), node)
             if found:
                 member, first, last = (np.array(x) for x in zip(*found))
                 yield pa.RecordBatch.from_arrays(
-                    [gram[member], stretch[member], first.astype(np.int32),
+                    [node[member], content[member], first.astype(np.int32),
                      last.astype(np.int32)], schema=schema)
 
-    return (rows.select("gram", "stretch", "lead", "size", "data").repartition("gram")
-            .sortWithinPartitions("gram", "stretch").mapInArrow(run, SOLVED).distinct())
+    return (rows.select("node", "content", "lead", "size", "data").repartition("node")
+            .sortWithinPartitions("node", "content").mapInArrow(run, SORTED).distinct())
+
+
+def halves_of(gram: int, stretch: int, shift: int, lead: int, size: int, low: int, high: int,
+              data: bytes) -> list[tuple]:
+    """A member of the windows that begin ``low`` to ``high - 1`` bytes before the anchor, as up to
+    two members of half of these windows each."""
+    found, middle = [], (low + high + 1) // 2
+    for a, b in ((low, middle), (middle, high)):
+        least, most = max(a, lead - size + 1), min(b - 1, lead)
+        if least > most:
+            continue
+        part = data[lead - most:lead - least + LENGTH]
+        common = data[lead - a:lead + LENGTH - b + 1]
+        node = xxhash.xxh3_64_intdigest(common, seed=a * LENGTH + b) ^ (gram & (1 << 64) - 1)
+        content = xxhash.xxh3_64_intdigest(part, seed=most * LENGTH + least)
+        found.append((node - (1 << 63), content - (1 << 63), gram, stretch, shift + lead - most,
+                      most, most - least + 1, a, b, part))
+    return found
 
 
-def counted_starts(rows: DataFrame) -> DataFrame:
-    """The same for anchors with many stretches, from counts of single windows."""
+def split_starts(rows: DataFrame) -> DataFrame:
+    """``gram, stretch, first, last`` of the members of large anchors, half by half."""
 
     def make():
         def step(columns):
-            gram, stretch, size, data = columns
-            digests = [[xxhash.xxh3_128_digest(d[i:i + LENGTH]) for i in range(n)]
-                       for n, d in zip(size, data)]
-            return [gram, stretch, digests]
+            out = [half for row in zip(*columns) for half in halves_of(*row)]
+            return list(zip(*out)) if out else [[]] * 10
 
         return step
 
-    windows = stored(arrow_pass(
-        rows.dropDuplicates(["gram", "stretch"]).select("gram", "stretch", "size", "data"),
-        "gram long, stretch long, digests array<binary>", make), "windows").select(
-        "gram", "stretch", F.posexplode("digests").alias("first", "digest"))
-    several = windows.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1")
-    return windows.join(several, "digest").select(
-        "gram", "stretch", "first", F.col("first").alias("last"))
+    found = rows.limit(0).select("gram", "stretch", F.col("shift").alias("first"),
+                                 F.col("shift").alias("last"))
+    both = ["node", "content"]
+    while not rows.isEmpty():
+        halves = stored(arrow_pass(
+            rows.select("gram", "stretch", "shift", "lead", "size", "low", "high", "data"),
+            PIECES, make), "halves")
+        kinds = stored(halves.groupBy(*both).agg(F.count(F.lit(1)).alias("n")), "kinds")
+        places = halves.drop("data")
+        whole = places.join(kinds.where("n > 1"), both).select(
+            "gram", "stretch", F.col("shift").alias("first"),
+            (F.col("shift") + F.col("size") - 1).alias("last"))
+        nodes = kinds.groupBy("node").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+        several = halves.dropDuplicates(both).join(nodes, "node")
+        solved = sorted_starts(several.where(F.col("kinds") <= GROUP)).join(places, both).select(
+            "gram", "stretch", (F.col("first") + F.col("shift")).alias("first"),
+            (F.col("last") + F.col("shift")).alias("last"))
+        found = found.union(stored(whole.union(solved), "solved"))
+        rows = stored(several.where(F.col("kinds") > GROUP), "crowded")
+    return found
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -258,8 +293,10 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     data = stored(stretches_of(mixed.join(large, "gram"), docs), "stretches")
     whole = mixed.where("n > 1").select(
         "gram", "stretch", F.lit(0).alias("first"), (F.col("size") - 1).alias("last"))
-    solved = whole.union(sorted_starts(data.where("NOT large"))).union(
-        counted_starts(data.where("large")))
+    solved = whole.union(sorted_starts(data.where("NOT large").select(
+        F.col("gram").alias("node"), F.col("stretch").alias("content"), "lead", "size", "data"))).union(
+        split_starts(data.where("large").dropDuplicates(["gram", "stretch"]).withColumns(
+            {"shift": F.lit(0), "low": F.lit(0), "high": F.lit(MOST_LEAD + 1)})))
     spans = seen.where("NOT mixed").select(
         "doc_id", "h", "start", (F.col("start") + F.col("size") - 1 + LENGTH).alias("end")).union(
         seen.where("mixed").join(solved, ["gram", "stretch"]).select(
