@@ -9,6 +9,7 @@ dealt again over more windows.
 
 from __future__ import annotations
 
+from bisect import insort
 import heapq
 import zlib
 
@@ -20,7 +21,11 @@ from pyspark.sql import functions as F
 from shelfscan.llm.common import arrow_pass, stored
 from shelfscan.llm.tokens import encode_ids
 
-BLOCK_WINDOWS = 192
+BLOCK_WINDOWS = 384
+#: Ids of sequences of one full piece begin here.
+FULL_IDS = 1 << 62
+#: Windows up to this many are put in their places one by one.
+FEW = 16
 END_ID = 0
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PACKED = PIECES + ", sequence_id long, offset long"
@@ -40,61 +45,59 @@ def cuts(n: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def differencing(sizes: np.ndarray, windows: int) -> tuple[np.ndarray, int]:
-    """The window of each size, and the fullest window's sum."""
+    """The window of each size, and the fullest window's sum.
+
+    A partial partition is its filled windows, smallest first. Two that fit side by side are only
+    laid together, as the large ends of one meet the empty ends of the other; else the few large
+    ends of the second are added to the small ends of the first.
+    """
     n = len(sizes)
-    # node i < n is a piece; a merged node has two children
+    # node i < n is a piece; a node from n on has two children
     children: list[tuple[int, int]] = []
-    empty = np.full(windows, -1, dtype=np.int64)
-    heap = []
-    for i, size in enumerate(sizes.tolist()):
-        heap.append((-size, i, None, None))
+    heap = [(-size, i, [(size, i)]) for i, size in enumerate(sizes.tolist())]
     heapq.heapify(heap)
     tick = n
-
-    def opened(entry):
-        spread, i, sums, nodes = entry
-        if sums is None:  # a single piece
-            sums, nodes = np.zeros(windows, dtype=np.int64), empty.copy()
-            sums[-1], nodes[-1] = -spread, i
-        return sums, nodes
-
     while len(heap) > 1:
-        sums_a, nodes_a = opened(heapq.heappop(heap))
-        sums_b, nodes_b = opened(heapq.heappop(heap))
-        sums = sums_a + sums_b[::-1]
-        a, b = nodes_a, nodes_b[::-1]
-        nodes = np.maximum(a, b)
-        both = np.flatnonzero((a >= 0) & (b >= 0))
-        if len(both):
-            nodes[both] = n + len(children) + np.arange(len(both))
-            children.extend(zip(a[both].tolist(), b[both].tolist()))
-        order = np.argsort(sums, kind="stable")
-        sums, nodes = sums[order], nodes[order]
-        heapq.heappush(heap, (int(sums[0] - sums[-1]), tick, sums, nodes))
+        one, two = heapq.heappop(heap)[2], heapq.heappop(heap)[2]
+        if len(one) < len(two):
+            one, two = two, one
+        if len(one) + len(two) <= windows:
+            one = two + one if two[-1] <= one[0] else sorted(one + two)
+        else:
+            # empty ends first
+            one = [(0, -1)] * (windows - len(one)) + one
+            met = []
+            for (sum_a, node_a), (sum_b, node_b) in zip(one, reversed(two)):
+                if node_a >= 0:
+                    children.append((node_a, node_b))
+                    node_b = n + len(children) - 1
+                met.append((sum_a + sum_b, node_b))
+            one = one[len(two):]
+            if len(met) > FEW:
+                one = sorted(one + met)
+            else:
+                for entry in met:
+                    insort(one, entry)
+        spread = one[-1][0] - (one[0][0] if len(one) == windows else 0)
+        heapq.heappush(heap, (-spread, tick, one))
         tick += 1
-    sums, nodes = opened(heap[0])
+    last = heap[0][2]
     window = np.full(n + len(children), -1, dtype=np.int64)
-    filled = nodes >= 0
-    window[nodes[filled]] = np.flatnonzero(filled)
+    window[[node for _, node in last]] = np.arange(len(last))
+    window = window.tolist()
     for node in range(len(children) - 1, -1, -1):
         left, right = children[node]
         window[left] = window[right] = window[n + node]
-    return window[:n], int(sums.max())
+    return np.array(window[:n], dtype=np.int64), last[-1][0]
 
 
 def pack_block(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     """Window and offset of each piece, gapless from 0 in every window."""
-    window = np.empty(len(sizes), dtype=np.int64)
-    full = sizes >= capacity
-    window[full] = np.arange(int(full.sum()))
-    part = np.flatnonzero(~full)
-    if len(part):
-        windows = -(-int(sizes[part].sum()) // capacity)
-        dealt, most = differencing(sizes[part], windows)
-        while most > capacity:
-            windows += 1
-            dealt, most = differencing(sizes[part], windows)
-        window[part] = int(full.sum()) + dealt
+    windows = max(1, -(-int(sizes.sum()) // capacity))
+    window, most = differencing(sizes, windows)
+    while most > capacity:
+        windows += 1
+        window, most = differencing(sizes, windows)
     order = np.argsort(window, kind="stable")
     ends = np.cumsum(sizes[order])
     begins = ends - sizes[order]
@@ -127,10 +130,13 @@ def pack_documents(docs: DataFrame, path: str, capacity: int = 1024) -> DataFram
     """One row per piece with its sequence and its place there.
 
     Null text is an empty document: its end id alone. Null ids, repeated rows and clashing extra
-    columns do no harm, since a sequence is named by its block and window. An empty table gives
-    an empty table. Sequences hold at most ``capacity`` ids.
+    columns do no harm, since pieces are dealt to blocks by their place in the written table. A piece
+    that fills a window is a sequence by itself, outside all blocks, so a long text brings a block
+    three pieces at most. An empty table gives an empty table. Sequences hold at most ``capacity``
+    ids.
     """
-    pieces = stored(token_pieces(docs, path, capacity), "pieces")
+    pieces = stored(token_pieces(docs, path, capacity), "pieces").withColumn(
+        "place", F.monotonically_increasing_id())
     part = pieces.where(F.col("length") < capacity)
     tokens = part.agg(F.sum("length")).first()[0] or 0
     blocks = max(1, round(tokens / (BLOCK_WINDOWS * capacity)))
@@ -143,6 +149,8 @@ def pack_documents(docs: DataFrame, path: str, capacity: int = 1024) -> DataFram
         block["offset"] = offset
         return block[[field.split()[0] for field in PACKED.split(", ")]]
 
-    keyed = pieces.withColumn("block", F.pmod(
-        F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(blocks)).cast("int"))
-    return keyed.groupBy("block").applyInPandas(pack, PACKED)
+    keyed = part.withColumn("block", F.pmod(F.xxhash64("place"), F.lit(blocks)).cast("int"))
+    full = pieces.where(F.col("length") == capacity).withColumns({
+        "sequence_id": F.col("place") + F.lit(FULL_IDS), "offset": F.lit(0).cast("long")})
+    return keyed.drop("place").groupBy("block").applyInPandas(pack, PACKED).union(
+        full.drop("place"))
