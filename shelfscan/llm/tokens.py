@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from array import array
 from functools import cache
+from itertools import chain, filterfalse
 import os
 import re
 
+import numpy as np
+
 #: Pre-tokens in one generation of a memo; two generations are kept.
-MEMO_SIZE = 500_000
+MEMO_SIZE = 900_000
 #: Pre-tokens longer than this are encoded each time.
 MEMO_CHARS = 64
+#: Unknown pre-tokens that are given to the library at once.
+LEARN_UNITS = 20_000
 
 #: A byte-level pre-token never spans two of these units: a word with the blank before it, or
 #: white space. Splitting a unit is left to the library.
@@ -74,6 +79,34 @@ def id_memo(path: str) -> Memo:
     return Memo(lambda unit: array("I", encode(unit, add_special_tokens=False).ids).tobytes())
 
 
+@cache
+def token_bytes(path: str) -> np.ndarray:
+    """Bytes of text that each id of a byte-level vocabulary stands for."""
+    vocabulary = tokenizer(path).get_vocab(with_added_tokens=False)
+    found = np.zeros(max(vocabulary.values()) + 1, np.int64)
+    for token, number in vocabulary.items():
+        found[number] = len(token)
+    return found
+
+
+def learn_units(path: str, memo: Memo, units: list[str]) -> None:
+    """Put units that begin with a blank into the memo, many in one call of the library.
+
+    Side by side they are pre-tokenized as they are alone. The bytes of the ids tell where each unit
+    ends; if one ended inside an id, all would be left to the memo to encode by themselves.
+    """
+    for at in range(0, len(units), LEARN_UNITS):
+        part = units[at:at + LEARN_UNITS]
+        ids = np.array(tokenizer(path).encode_batch_fast(
+            ["".join(part)], add_special_tokens=False)[0].ids, np.uint32)
+        upto = np.cumsum(token_bytes(path)[ids])
+        ends = np.cumsum([len(unit.encode()) for unit in part])
+        cuts = np.searchsorted(upto, ends)
+        if len(ids) and cuts[-1] < len(upto) and (upto[cuts] == ends).all():
+            data, cuts = ids.astype("<u4").tobytes(), ((cuts + 1) * 4).tolist()
+            memo.update(zip(part, (data[a:b] for a, b in zip([0, *cuts], cuts))))
+
+
 @cache
 def count_memo(path: str) -> Memo:
     encode = tokenizer(path).encode
@@ -86,14 +119,19 @@ def encode_ids(path: str, texts: list[str | None]) -> list[bytes]:
     For byte-level tokenizers without a normalizer. Equal to encoding each text by the library:
     its pre-tokens lie inside the units, and texts with special strings are encoded whole.
     """
-    get = id_memo(path).trim().__getitem__
+    memo = id_memo(path).trim()
+    whole = [bool(text) and encoded_whole(path, text) for text in texts]
+    units = [BYTE_LEVEL_UNIT.findall(text) if text and not alone else []
+             for text, alone in zip(texts, whole)]
+    fresh = dict.fromkeys(filterfalse(memo.__contains__, chain.from_iterable(units)))
+    learn_units(path, memo, [unit for unit in fresh if unit not in memo.old and unit[0] == " "
+                             and 1 < len(unit) <= MEMO_CHARS and not unit.isspace()])
+    get = memo.__getitem__
     found = []
-    for text in texts:
-        if not text:
-            found.append(b"")
-        elif encoded_whole(path, text):
+    for text, alone, parts in zip(texts, whole, units):
+        if alone:
             ids = tokenizer(path).encode(text, add_special_tokens=False).ids
             found.append(array("I", ids).tobytes())
         else:
-            found.append(b"".join(map(get, BYTE_LEVEL_UNIT.findall(text))))
+            found.append(b"".join(map(get, parts)))
     return found
