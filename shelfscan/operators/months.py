@@ -1,15 +1,17 @@
 """Month-partitioned Parquet table with snapshots.
 
 Plain Parquet has no MERGE or DELETE. A change here writes only the touched months to a new
-folder and then appends a small list of the folders that make up the new snapshot. Readers
-see the last complete list, a failed job leaves the previous one, and a plan never
-overwrites files it reads. One writer at a time.
+folder, then a summary of their keys, and last a small list of the folders that make up the new
+snapshot, in a folder of its own that is named by its number and tag. Readers see the last
+complete list, a failed job leaves the previous one, and a plan never overwrites files it reads.
+One writer at a time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date, timedelta
+import hashlib
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,9 +19,10 @@ from pyspark.sql import types as T
 
 from shelfscan.functions.dates import shift_months
 from shelfscan.operators.filters import on_dates
+from shelfscan.operators.keysummary import block_count, may_hold, summarise
 from shelfscan.operators.upsert import delete_range, merge_upsert
 from shelfscan.schemas import KEY, SALES
-from shelfscan.session import empty_frame, path_exists
+from shelfscan.session import child_names, empty_frame, path_exists
 
 Month = tuple[int | None, int | None]
 
@@ -33,11 +36,25 @@ SNAPSHOTS = T.StructType([
 ])
 
 
+UNKNOWN = "__HIVE_DEFAULT_PARTITION__"
+
+
 def _folder_name(month: Month) -> str:
-    year, number = ("__HIVE_DEFAULT_PARTITION__" if part is None else part for part in month)
+    year, number = (UNKNOWN if part is None else part for part in month)
     return f"sale_year={year}/sale_month={number}"
 
 
+def _folder_of(version: int) -> Column:
+    """The folder of a row that this version writes."""
+    year, number = (F.coalesce(F.col(name).cast("string"), F.lit(UNKNOWN))
+                    for name in ("sale_year", "sale_month"))
+    return F.concat(F.lit(f"data/v={version}/sale_year="), year, F.lit("/sale_month="), number)
+
+
+def _tag_mark(tag: str) -> str:
+    return hashlib.sha256(tag.encode()).hexdigest()[:24]
+
+
 def month_predicate(months: Sequence[Month]) -> Column:
     """Predicate on the partition columns alone, so that it prunes folders."""
     known = sorted(y * 100 + m for y, m in months if y is not None and m is not None)
@@ -61,15 +78,25 @@ class MonthTable:
         path = f"{self.root}/snapshots"
         if not path_exists(self.spark, path):
             return empty_frame(self.spark, SNAPSHOTS)
-        return self.spark.read.schema(SNAPSHOTS).json(path)
+        return self.spark.read.schema(SNAPSHOTS).option("recursiveFileLookup", True).json(path)
+
+    def _lists(self) -> list[str]:
+        """Folder names of the snapshot lists, newest first. Nothing is read but the names."""
+        return sorted(child_names(self.spark, f"{self.root}/snapshots"), reverse=True)
+
+    def _complete(self, name: str) -> bool:
+        return path_exists(self.spark, f"{self.root}/snapshots/{name}/_SUCCESS")
 
     def _current(self) -> tuple[int, list]:
-        """Number and months of the current snapshot; the months are bounded by the calendar."""
-        snapshots = self.snapshots()
-        newest = snapshots.agg(F.max("version")).scalar()
-        rows = snapshots.where(F.col("version") == newest).collect()
-        version = rows[0].version if rows else 0
-        return version, [row for row in rows if row.folder is not None]
+        """Number and months of the current snapshot; the months are bounded by the calendar.
+
+        Only the newest complete list is read, however many there are.
+        """
+        newest = next((name for name in self._lists() if self._complete(name)), None)
+        if newest is None:
+            return 0, []
+        rows = self.spark.read.schema(SNAPSHOTS).json(f"{self.root}/snapshots/{newest}").collect()
+        return rows[0].version, [row for row in rows if row.folder is not None]
 
     def version(self) -> int:
         """Number of the current snapshot, 0 before the first write."""
@@ -80,7 +107,8 @@ class MonthTable:
         return self._current()[1]
 
     def has_tag(self, tag: str) -> bool:
-        return not self.snapshots().where(F.col("tag") == tag).isEmpty()
+        mark = _tag_mark(tag)
+        return any(name.endswith(mark) and self._complete(name) for name in self._lists())
 
     # ------------------------------------------------------------ reading
 
@@ -121,10 +149,14 @@ class MonthTable:
 
     # ------------------------------------------------------------ writing
 
-    def replace_months(self, rows: DataFrame, months: Sequence[Month], tag: str | None = None) -> int:
+    def replace_months(
+        self, rows: DataFrame, months: Sequence[Month], tag: str | None = None,
+        expected: dict[Month, int] | None = None,
+    ) -> int:
         """Make ``rows`` the whole content of ``months``; other months are kept by reference.
 
-        Returns the number of rows written.
+        Returns the number of rows written. ``expected`` may bound the rows of each month, which
+        spares counting them ahead of their key summary.
         """
         version, before = self._current()
         version += 1
@@ -134,10 +166,7 @@ class MonthTable:
             rows.select(*SALES.fieldNames()).hint("rebalance", "sale_year", "sale_month")
             .write.mode("overwrite").partitionBy("sale_year", "sale_month").parquet(data)
         )
-        written = (
-            self.spark.read.schema(SALES).parquet(data)
-            .groupBy("sale_year", "sale_month").count().collect()
-        )
+        written = self._summarised(version, data, expected)
         gone = set(months)
         listed = [(version, tag, None, None, None, None)]
         listed += [
@@ -145,25 +174,78 @@ class MonthTable:
             for row in before if (row.sale_year, row.sale_month) not in gone
         ]
         listed += [
-            (version, tag, row.sale_year, row.sale_month, row["count"],
-             f"data/v={version}/{_folder_name((row.sale_year, row.sale_month))}")
-            for row in written
+            (version, tag, *month, count, f"data/v={version}/{_folder_name(month)}")
+            for month, count in written.items()
         ]
+        name = f"{version:010d}" if tag is None else f"{version:010d}-{_tag_mark(tag)}"
         (
             self.spark.createDataFrame(listed, SNAPSHOTS).coalesce(1)
-            .write.mode("append").json(f"{self.root}/snapshots")
+            .write.mode("overwrite").json(f"{self.root}/snapshots/{name}")
+        )
+        return sum(written.values())
+
+    def _summarised(
+        self, version: int, data: str, expected: dict[Month, int] | None,
+    ) -> dict[Month, int]:
+        """Write the key summaries of the months a version has written; their row counts."""
+        rows = self.spark.read.schema(SALES).parquet(data)
+        if expected is None:
+            expected = {
+                (row.sale_year, row.sale_month): row["count"]
+                for row in rows.groupBy("sale_year", "sale_month").count().collect()}
+        folder = _folder_of(version)
+        folders = {f"data/v={version}/{_folder_name(month)}": month for month in expected}
+        counts = [F.lit(x) for name, month in folders.items()
+                  for x in (name, block_count(expected[month]))]
+        blocks = F.create_map(*counts)[folder] if counts else F.lit(1)
+        path = f"{self.root}/keys/v={version}"
+        summarise(rows, self.key, folder, blocks).write.mode("overwrite").parquet(path)
+        found = self.spark.read.parquet(path).groupBy("folder").agg(F.sum("rows").alias("n"))
+        return {folders[row.folder]: row.n for row in found.collect()}
+
+    def _holding(self, keys: DataFrame, months: Sequence) -> list:
+        """Those of the months that hold one of the keys.
+
+        The key summaries name candidates, and only the key column of these is read.
+        """
+        if not months:
+            return []
+        versions = sorted({row.folder.split("/")[1] for row in months})
+        summary = self.spark.read.parquet(*[f"{self.root}/keys/{v}" for v in versions]).where(
+            F.col("folder").isin([row.folder for row in months]))
+        blocks = sorted({block_count(row.rows) for row in months} | {
+            row.blocks for row in summary.select("blocks").distinct().collect()})
+        named = {row.folder for row in may_hold(summary, keys, self.key, blocks).collect()}
+        candidates = [row for row in months if row.folder in named]
+        if not candidates:
+            return []
+        held = (
+            self._read(candidates).where(F.col(self.key).isNotNull())
+            .select(self.key, "sale_year", "sale_month").join(keys, self.key, "left_semi")
+            .select("sale_year", "sale_month").distinct()
         )
-        return sum(row["count"] for row in written)
+        found = {(row.sale_year, row.sale_month) for row in held.collect()}
+        return [row for row in candidates if (row.sale_year, row.sale_month) in found]
 
     def upsert(self, source: DataFrame, tag: str | None = None, may_move: bool = True) -> int:
         """Merge a source with unique keys; returns its row count.
 
         Touched months are those of the source rows and those that hold an old row of a
-        source key, because a corrected date moves a row to another month. The search for
-        old rows reads the key column of all months; ``may_move=False`` leaves it out where
-        a key never changes its month. ``tag`` names the change; a change whose tag is
-        already there is not applied again.
+        source key, because a corrected date moves a row to another month. Old rows are searched
+        for in the key summaries of the months, and then in the months these name;
+        ``may_move=False`` leaves that out where a key never changes its month. ``tag`` names the
+        change; a change whose tag is already there is not applied again.
+        """
+        return self._merged(source, None, tag, may_move)
+
+    def replace_between(self, low: date, high: date, source: DataFrame, tag: str | None = None) -> int:
+        """Delete a date range and merge a source, as one snapshot; returns the source's row count.
+
+        A source that fails leaves the table as it was.
         """
+        return self._merged(source, (low, high), tag, True)
+
+    def _merged(self, source, span, tag, may_move) -> int:
         if tag is not None and self.has_tag(tag):
             return 0
         months = self.month_list()
@@ -171,32 +253,44 @@ class MonthTable:
             return self.replace_months(source, [], tag)
         source = source.persist()
         try:
-            own = source.groupBy("sale_year", "sale_month").count().collect()
-            if not own:
+            own = {
+                (row.sale_year, row.sale_month): row["count"]
+                for row in source.groupBy("sale_year", "sale_month").count().collect()}
+            touched = set(own)
+            if span is not None:
+                touched |= {(row.sale_year, row.sale_month) for row in self._covered(months, *span)}
+            if not touched:
                 return 0
-            target = self._read(months)
-            touched = {(row.sale_year, row.sale_month) for row in own}
-            if may_move:
+            if may_move and own:
                 keys = source.select(self.key).where(F.col(self.key).isNotNull())
-                old = (
-                    target.where(F.col(self.key).isNotNull())
-                    .select(self.key, "sale_year", "sale_month")
-                    .join(keys, self.key, "left_semi")
-                    .select("sale_year", "sale_month").distinct()
-                )
-                touched |= {(row.sale_year, row.sale_month) for row in old.collect()}
-            merged = merge_upsert(target.where(month_predicate(list(touched))), source, self.key)
-            self.replace_months(merged, list(touched), tag)
-            return sum(row["count"] for row in own)
+                rest = [row for row in months if (row.sale_year, row.sale_month) not in touched]
+                touched |= {
+                    (row.sale_year, row.sale_month) for row in self._holding(keys, rest)}
+            read = [row for row in months if (row.sale_year, row.sale_month) in touched]
+            target = self._read(read)
+            if span is not None:
+                target = delete_range(target, *span)
+            expected = dict(own)
+            for row in read:
+                month = (row.sale_year, row.sale_month)
+                expected[month] = expected.get(month, 0) + row.rows
+            self.replace_months(
+                merge_upsert(target, source, self.key), list(touched), tag, expected)
+            return sum(own.values())
         finally:
             source.unpersist()
 
-    def delete_between(self, low: date, high: date) -> int:
-        """Delete a date range, rewriting only the stored months it covers; returns the rows kept."""
-        stored = [
-            row for row in self.month_list() if row.sale_year is not None
+    @staticmethod
+    def _covered(months: Sequence, low: date, high: date) -> list:
+        """Stored months that a date range covers or cuts."""
+        return [
+            row for row in months if row.sale_year is not None
             and (low.year, low.month) <= (row.sale_year, row.sale_month) <= (high.year, high.month)
         ]
+
+    def delete_between(self, low: date, high: date) -> int:
+        """Delete a date range, rewriting only the stored months it covers; returns the rows kept."""
+        stored = self._covered(self.month_list(), low, high)
         if not stored:
             return 0
         kept = delete_range(self._read(stored), low, high)

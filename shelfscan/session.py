@@ -67,6 +67,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder; none where there is no such folder."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return []
+    return [status.getPath().getName() for status in system.listStatus(folder)]
+
+
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.range(0).select(*[
         F.lit(None).cast(field.dataType).alias(field.name) for field in schema.fields])
