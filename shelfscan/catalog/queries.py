@@ -544,8 +544,8 @@ def join_range_self(spark, sf_dir):
 def _model(spark, sf_dir):
     return semantic.SalesModel(
         fact=lambda *columns: sales(spark, sf_dir, *columns),
-        calendar=calendar.calendar_of(sales(spark, sf_dir, "sale_date")),
-        stores=_store_dim(spark, sf_dir))
+        calendar=lambda: calendar.calendar_of(sales(spark, sf_dir, "sale_date")),
+        stores=lambda: _store_dim(spark, sf_dir))
 
 
 @register("join_fact_date", q.with_sales(select=f"""
@@ -1023,10 +1023,12 @@ def semantic_rounding_totals(spark, sf_dir):
         metrics=["TOTAL_SALES", "GROSS_MARGIN_DOLLARS"], dimensions=["VENDOR_NAME"])
 
 
-@register("semantic_lines_by_store", q.with_sales(q.STORES, select="""
-SELECT invoice_and_item_number, s.city AS store_city, strftime(sale_date, '%b%Y') AS monthyear,
+@register("semantic_lines_by_store", q.with_sales("""
+located AS (SELECT DISTINCT store_number AS number FROM sales WHERE longitude IS NOT NULL)""",
+                                                 select="""
+SELECT invoice_and_item_number, city AS store_city, strftime(sale_date, '%b%Y') AS monthyear,
        sale_dollars
-FROM sales s WHERE store_number IN (SELECT store_number FROM stores)"""))
+FROM sales JOIN located ON store_number = number"""))
 def semantic_lines_by_store(spark, sf_dir):
     return _model(spark, sf_dir).query(
         dimensions=[KEY, "STORE_CITY", "MONTHYEAR", "SALE_DOLLARS"])

@@ -2,43 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-BROADCAST_ROWS = 100_000
-SALTS = 32
 
 
 def join_dimension(
-    fact: DataFrame,
-    dimension: DataFrame,
-    fact_key: str,
-    dimension_key: str,
-    how: str = "inner",
-    broadcast_rows: int = BROADCAST_ROWS,
+    fact: DataFrame, dimension: DataFrame, fact_key: str, dimension_key: str, how: str = "inner",
 ) -> DataFrame:
     """Row-level join with a dimension that has a unique key; ``how`` is inner or left.
 
-    The dimension is counted first. Up to ``broadcast_rows`` rows it is broadcast and the
-    fact is not shuffled. A larger one is joined by shuffle with salted keys: the fact rows
-    of one key spread over ``SALTS`` partitions by the task they come from, which also
-    splits exact copies, and the dimension is repeated once per salt.
+    Nothing is counted or kept while the plan is made. Spark broadcasts a dimension whose bytes it
+    knows to be few, as those of a saved one, or finds to be few when it has run; otherwise both
+    sides are shuffled, and adaptive execution splits the partitions of hot or missing keys, since
+    the fact is the side whose rows all stay.
     """
-    kept = fact.withColumn("_key", F.col(fact_key))
-    dimension = (
-        dimension.where(F.col(dimension_key).isNotNull())
-        .withColumnRenamed(dimension_key, "_key")
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-    if dimension.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        joined = kept.join(F.broadcast(dimension), "_key", how)
-    else:
-        salt = F.pmod(F.spark_partition_id(), F.lit(SALTS))
-        repeated = dimension.withColumn(
-            "_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        joined = kept.withColumn("_salt", salt).join(repeated, ["_key", "_salt"], how)
-    return joined.drop("_key", "_salt")
+    renamed = dimension.withColumnRenamed(dimension_key, "_key")
+    return fact.join(renamed, fact[fact_key] == renamed["_key"], how).drop("_key")
 
 
 def join_totals(

@@ -1,14 +1,17 @@
 """Semantic model: metrics by dimensions over the fact, the calendar and the stores.
 
 A query names metrics, dimensions and filters by their logical names or synonyms and gets a
-DataFrame. The sales lines are summed by the fact-side columns and join keys first; only
-those totals are joined with the dimensions, so no join sees a hot store or date.
+DataFrame. For totals, the sales lines are summed by the fact-side columns and join keys first
+and only the sums are joined with the dimensions, so that a hot store or date is one row by then;
+queries for plain lines join the lines themselves. Filters on the calendar and on the sale date
+are carried over to the months and days of the fact, so that month folders are pruned.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from datetime import date
 import re
 from typing import Any
 
@@ -18,6 +21,7 @@ from pyspark.sql import types as T
 
 from shelfscan.operators.joins import join_dimension, join_totals
 from shelfscan.operators.metrics import METRICS, Metric, add_parts, parts_of, sum_parts
+from shelfscan.operators.months import month_predicate
 from shelfscan.schemas import KEY
 
 FACT, CALENDAR, STORES = "SALES", "DATE_DIM", "DIM_STORE_LOCATION"
@@ -131,6 +135,52 @@ COMPARISONS: dict[str, Callable[[Column, Any], Column]] = {
 
 Filter = tuple[str, str, Any]
 
+DAY, MONTHS = "sale_date", ("sale_year", "sale_month")
+
+#: The first and last day that a comparison of the sale date lets pass, None where it is open.
+DAY_BOUNDS: dict[str, Callable[[Any], tuple[Any, Any]]] = {
+    "=": lambda value: (value, value),
+    "<": lambda value: (None, value),
+    "<=": lambda value: (None, value),
+    ">": lambda value: (value, None),
+    ">=": lambda value: (value, None),
+    "in": lambda values: (min(values), max(values)),
+    "between": lambda pair: (pair[0], pair[1]),
+}
+
+
+@dataclass(frozen=True)
+class Test:
+    """A comparison of a field or metric with a value."""
+
+    entry: Any
+    op: str
+    value: Any
+
+    def __post_init__(self):
+        if self.op not in COMPARISONS:
+            raise ValueError(f"unknown comparison {self.op!r}")
+
+    def on(self, column: Column) -> Column:
+        return COMPARISONS[self.op](column, self.value)
+
+
+def _as_date(value: Any) -> date | None:
+    if value is None or isinstance(value, date):
+        return value
+    return date.fromisoformat(str(value)[:10])
+
+
+def _month_range(low: date | None, high: date | None) -> Column:
+    """Predicate on the partition columns for the months from low to high."""
+    number = F.col("sale_year") * 100 + F.col("sale_month")
+    test = F.lit(True)
+    if low is not None:
+        test = test & (number >= low.year * 100 + low.month)
+    if high is not None:
+        test = test & (number <= high.year * 100 + high.month)
+    return test
+
 
 def _plain(name: str) -> str:
     return re.sub(r"[\s_]+", " ", name).strip().lower()
@@ -141,12 +191,13 @@ class SalesModel:
     """The model over concrete relations.
 
     ``fact`` is a DataFrame, or a function from column names to a DataFrame with at least
-    those columns. ``state_name`` adds the synonym "<state> Category" of CATEGORY_NAME.
+    those columns. The dimensions are DataFrames, or functions that make them when a query needs
+    them. ``state_name`` adds the synonym "<state> Category" of CATEGORY_NAME.
     """
 
     fact: DataFrame | Callable[..., DataFrame]
-    calendar: DataFrame
-    stores: DataFrame
+    calendar: DataFrame | Callable[[], DataFrame]
+    stores: DataFrame | Callable[[], DataFrame]
     state_name: str | None = None
     fields: list[Field] = field(default_factory=lambda: list(FIELDS))
 
@@ -213,9 +264,13 @@ class SalesModel:
         rows = self.fact(*wanted) if callable(self.fact) else self.fact
         return rows.select(*wanted)
 
+    def _relation(self, table: str) -> DataFrame:
+        rows = self.calendar if table == CALENDAR else self.stores
+        return rows() if callable(rows) else rows
+
     def _dimension(self, table: str, fields: Sequence[Field]) -> DataFrame:
         """The key and the needed fields of a dimension, under unambiguous names."""
-        rows = self.calendar if table == CALENDAR else self.stores
+        rows = self._relation(table)
         return rows.select(
             F.col(RELATIONSHIPS[table].key).alias("_dim_key"),
             *[_groupable(rows, f.source).alias(_alias(f)) for f in fields])
@@ -239,12 +294,12 @@ class SalesModel:
         """
         measures = [self._metric(name) for name in metrics]
         groups = [self._field(name) for name in dimensions]
-        tests = [(self.resolve(name), COMPARISONS[op.lower()], value) for name, op, value in where]
-        line_tests = [test for test in tests if isinstance(test[0], Field)]
-        group_tests = [test for test in tests if isinstance(test[0], Metric)]
+        tests = [Test(self.resolve(name), op.lower(), value) for name, op, value in where]
+        line_tests = [test for test in tests if isinstance(test.entry, Field)]
+        group_tests = [test for test in tests if isinstance(test.entry, Metric)]
         if group_tests and not measures:
             raise ValueError("a filter on a metric needs a query with metrics")
-        used = list(dict.fromkeys([*groups, *[test[0] for test in line_tests]]))
+        used = list(dict.fromkeys([*groups, *[test.entry for test in line_tests]]))
         if measures:
             result = self._totals(measures, groups, used, line_tests, group_tests, rounded)
         else:
@@ -274,31 +329,68 @@ class SalesModel:
         # the warehouse puts unknown values first when descending, last when ascending
         return column.desc_nulls_first() if name.startswith("-") else column.asc_nulls_last()
 
+    def _lines_of(self, columns: Sequence[str], tests: Sequence[Test]) -> DataFrame:
+        """Fact lines with the given columns that pass the tests on the fact.
+
+        Tests on the calendar or the sale date also bound the days and months that are read.
+        """
+        own = [test for test in tests if test.entry.table == FACT]
+        days = [test for test in own if test.entry.source == DAY and test.op in DAY_BOUNDS]
+        # a line without a day in the calendar only passes a test for NULL
+        dated = [test for test in tests if test.entry.table == CALENDAR]
+        if any(test.op == "is null" and test.value for test in dated):
+            dated = []
+        known = set(MONTHS) if callable(self.fact) else set(MONTHS) & set(self.fact.columns)
+        rows = self._fact([*columns, *([DAY, *known] if days or dated else [])])
+        for test in own:
+            rows = rows.where(test.on(F.col(test.entry.source)))
+        for test in days:
+            low, high = DAY_BOUNDS[test.op](test.value)
+            if len(known) == len(MONTHS):
+                rows = rows.where(_month_range(_as_date(low), _as_date(high)))
+        if dated:
+            rows = self._in_calendar(rows, dated, len(known) == len(MONTHS))
+        return rows.select(*dict.fromkeys(columns))
+
+    def _in_calendar(self, rows: DataFrame, tests: Sequence[Test], by_month: bool) -> DataFrame:
+        """Lines of the months in which some day passes the tests on the calendar.
+
+        One job on the calendar brings at most its months to the driver, as literals.
+        """
+        days = self._relation(CALENDAR)
+        for test in tests:
+            days = days.where(test.on(F.col(test.entry.source)))
+        key = F.col(RELATIONSHIPS[CALENDAR].key)
+        months = days.groupBy(F.year(key).alias("y"), F.month(key).alias("m")).agg(
+            F.min(key).alias("low"), F.max(key).alias("high")).collect()
+        if not months:
+            return rows.where(F.lit(False))
+        rows = rows.where(F.col(DAY).between(
+            F.lit(min(row.low for row in months)), F.lit(max(row.high for row in months))))
+        return rows.where(month_predicate([(row.y, row.m) for row in months])) if by_month else rows
+
     def _totals(self, measures, groups, used, line_tests, group_tests, rounded) -> DataFrame:
-        measured = [*measures, *[test[0] for test in group_tests]]
+        measured = [*measures, *[test.entry for test in group_tests]]
         parts = parts_of(measured)
         tables = [table for table in RELATIONSHIPS if any(f.table == table for f in used)]
         fact_groups = [f.source for f in groups if f.table == FACT]
         keys = [RELATIONSHIPS[table].fact_key for table in tables]
-        rows = self._fact([
+        rows = self._lines_of([
             *[f.source for f in used if f.table == FACT], *keys,
-            *[column for metric in measured for column in metric.columns()]])
-        for entry, test, value in line_tests:
-            if entry.table == FACT:
-                rows = rows.where(test(F.col(entry.source), value))
+            *[column for metric in measured for column in metric.columns()]], line_tests)
         totals = sum_parts(rows, parts, *dict.fromkeys([*fact_groups, *keys]))
         for table in tables:
             relation = RELATIONSHIPS[table]
             dimension = self._dimension(table, [f for f in used if f.table == table])
             totals = join_totals(totals, dimension, relation.fact_key, "_dim_key", relation.how)
-        for entry, test, value in line_tests:
-            if entry.table != FACT:
-                totals = totals.where(test(F.col(_alias(entry)), value))
+        for test in line_tests:
+            if test.entry.table != FACT:
+                totals = totals.where(test.on(F.col(_alias(test.entry))))
         names = [(f.source if f.table == FACT else _alias(f), f.output) for f in groups]
         if tables:
             totals = add_parts(totals, parts, *[name for name, _ in names])
-        for entry, test, value in group_tests:
-            totals = totals.where(test(entry.value(), value))
+        for test in group_tests:
+            totals = totals.where(test.on(test.entry.value()))
         return totals.select(
             *[F.col(name).alias(output) for name, output in names],
             *[_shown(m.value(), m.currency and rounded, 0).alias(m.name.lower()) for m in measures])
@@ -306,17 +398,15 @@ class SalesModel:
     def _lines(self, groups, used, line_tests, rounded) -> DataFrame:
         tables = [table for table in RELATIONSHIPS if any(f.table == table for f in used)]
         keys = [RELATIONSHIPS[table].fact_key for table in tables]
-        rows = self._fact([*[f.source for f in used if f.table == FACT], *keys])
-        for entry, test, value in line_tests:
-            if entry.table == FACT:
-                rows = rows.where(test(F.col(entry.source), value))
+        rows = self._lines_of(
+            [*[f.source for f in used if f.table == FACT], *keys], line_tests)
         for table in tables:
             relation = RELATIONSHIPS[table]
             dimension = self._dimension(table, [f for f in used if f.table == table])
             rows = join_dimension(rows, dimension, relation.fact_key, "_dim_key", relation.how)
-        for entry, test, value in line_tests:
-            if entry.table != FACT:
-                rows = rows.where(test(F.col(_alias(entry)), value))
+        for test in line_tests:
+            if test.entry.table != FACT:
+                rows = rows.where(test.on(F.col(_alias(test.entry))))
         return rows.select(*[
             _shown(F.col(f.source if f.table == FACT else _alias(f)), f.currency and rounded, 2)
             .alias(f.output) for f in groups])
@@ -326,7 +416,7 @@ class SalesModel:
     def problems(self) -> list[str]:
         """What is wrong with the model's names and columns; needs no job."""
         found = []
-        relations = {CALENDAR: self.calendar, STORES: self.stores}
+        relations = {table: self._relation(table) for table in (CALENDAR, STORES)}
         if not callable(self.fact):
             relations[FACT] = self.fact
         for table, rows in relations.items():
@@ -345,7 +435,7 @@ class SalesModel:
         """
         reports = [
             key_counts(rows, PRIMARY_KEYS[table], table) for table, rows in (
-                (CALENDAR, self.calendar), (STORES, self.stores),
+                (CALENDAR, self._relation(CALENDAR)), (STORES, self._relation(STORES)),
                 (FACT, self._fact([PRIMARY_KEYS[FACT]])))
         ]
         return reports[0].unionByName(reports[1]).unionByName(reports[2])

@@ -49,3 +49,29 @@ def test_views_for_sql(spark, mart):
               JOIN dim_store_location_v v USING (store_number) GROUP BY 1"""
     located = mart.sales().where(F.col("store_location").isNotNull()).count()
     assert spark.sql(text).agg(F.sum("rows")).first()[0] == located
+
+
+@pytest.mark.parametrize("where, kept", [
+    ([("YEAR", "=", 2000)], "sale_year = 2000"),
+    ([("MONTHYEAR", "in", ["Feb1998", "Mar2001"])],
+     "date_format(sale_date, 'MMMyyyy') IN ('Feb1998', 'Mar2001')"),
+    ([("Sales.SALE_DATE", "between", (date(1999, 5, 20), date(1999, 7, 2)))],
+     "sale_date BETWEEN '1999-05-20' AND '1999-07-02'"),
+    ([("Sales.SALE_DATE", ">=", "2001-06-15"), ("DAYOFWEEK", "=", "Monday")],
+     "sale_date >= '2001-06-15' AND dayofweek(sale_date) = 2"),
+    ([("YEAR", "=", 1066)], "false"),
+    ([("YEAR", "is null", True)], "sale_date IS NULL"),
+])
+def test_questions_with_dates_prune_months(mart, plan, where, kept):
+    """Filters on the calendar and on the day reach the month folders, in totals and in lines."""
+    expected = mart.sales().where(kept)
+    model = mart.model()
+    totals = model.query(metrics=["TOTAL_BOTTLES_SOLD"], where=where)
+    lines = model.query(dimensions=["INVOICE_AND_ITEM_NUMBER", "BOTTLES_SOLD"], where=where)
+    assert totals.first()[0] == expected.agg(F.sum("bottles_sold")).first()[0]
+    assert sorted(map(tuple, lines.collect())) == sorted(
+        map(tuple, expected.select("invoice_and_item_number", "bottles_sold").collect()))
+    for query in (totals, lines):
+        filters = [line for line in folders_read(plan(query)) if "/data/v=" in line or "sale_" in line]
+        if where[0][2] not in (1066, True):
+            assert any("sale_year" in line and "sale_month" in line for line in filters)

@@ -97,11 +97,17 @@ def test_joins_of_any_size_agree(spark):
     fact = spark.range(0, 6000, 1, 6).select(
         "id", F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 50).cast("int").alias("store"))
     dimension = spark.range(40).select(F.col("id").cast("int").alias("number"), F.lit("city").alias("city"))
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
     for how in ("inner", "left"):
-        small = joins.join_dimension(fact, dimension, "store", "number", how)
-        large = joins.join_dimension(fact, dimension, "store", "number", how, broadcast_rows=5)
-        assert small.columns == large.columns == ["id", "store", "city"]
-        assert small.exceptAll(large).count() == 0 and small.count() == large.count()
+        found = {}
+        for size in (before, "-1"):  # broadcast, then shuffled
+            spark.conf.set(threshold, size)
+            joined = joins.join_dimension(fact, dimension, "store", "number", how)
+            assert joined.columns == ["id", "store", "city"]
+            found[size] = sorted(map(tuple, joined.collect()))
+        spark.conf.set(threshold, before)
+        assert found[before] == found["-1"]
     assert joins.join_dimension(fact, dimension, "store", "number", "left").count() == 6000
 
 
