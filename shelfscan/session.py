@@ -62,6 +62,14 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def written(frame: DataFrame, label: str) -> DataFrame:
+    """The frame as a table in the shared folder: what reads it twice sees the same rows in the
+    same places, and a lost executor costs no work that lies before it."""
+    path = fresh_folder(frame.sparkSession, label)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)

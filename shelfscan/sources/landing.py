@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfscan.schemas import FILE_LEDGER, RAW
-from shelfscan.session import empty_frame, path_exists
+from shelfscan.session import empty_frame, path_exists, written
 
 PAGE_SIZE = 50_000
 DOCUMENT_FILES = "*.json*"
@@ -25,79 +25,70 @@ Month = tuple[int, int]
 
 # ---------------------------------------------------------------- paging and writing
 
+def day_of(stamp: Column) -> Column:
+    """The date of a document's timestamp text; NULL for text that is no date."""
+    return stamp.cast("string").try_cast("date")
+
+
+def undated(rows: DataFrame, day: str = "date") -> DataFrame:
+    """Rows without a readable date. They belong to no month, so no page holds them."""
+    return rows.where(day_of(F.col(day)).isNull())
+
+
 def page_assign(
     rows: DataFrame,
     key: str,
     day: str = "date",
     page_size: int = PAGE_SIZE,
-    bucket_digits: int = 3,
 ) -> DataFrame:
     """Number the rows of each month by date and cut them into pages.
 
-    Adds ``year``, ``month``, ``row_in_month`` and ``page`` (both from 1). Rows of one date
-    are ordered by the MD5 of their key, then by all columns, which makes the numbering
-    total and repeatable. Rows
-    without a date belong to no month and are left out.
+    Adds ``year``, ``month``, ``row_in_month`` and ``page`` (both from 1). Rows of one date are
+    ordered by the MD5 of their key, then by the hash of the whole row, then by all columns, which
+    makes the numbering total and repeatable. Rows without a date are left to :func:`undated`.
 
-    The rank is exact without sorting a month in one task: equal rows are first collapsed
-    to one row with a count, the rows of a date are cut into hash-prefix buckets, small
-    bucket counts give each bucket its first number, and the running count inside a bucket
-    does the rest. Collapsed copies are spread over the pages they fill before they are
-    written out again.
+    The rows cross the network once, to range partitions in that order, and are written there with
+    their places. A row's number is its place in its partition plus the rows of its month in
+    earlier partitions; these are one small count per month and partition. Copies of a row are
+    many values of the range key, since it ends with the task a row comes from.
     """
     columns = rows.columns
-    copies = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
-    sale_day = F.to_date(F.substring(F.col(day).cast("string"), 1, 10))
-    hashed = F.md5(F.coalesce(F.col(key), F.lit("")))
-    copies = copies.where(sale_day.isNotNull()).select(
-        "*",
-        F.year(sale_day).alias("year"), F.month(sale_day).alias("month"),
-        sale_day.alias("_day"), hashed.alias("_hash"),
-        F.substring(hashed, 1, bucket_digits).alias("_bucket"),
-    )
-
-    place = ["year", "month", "_day", "_bucket"]
-    in_month = Window.partitionBy("year", "month").orderBy("_day", "_bucket")
-    starts = (
-        copies.groupBy(*place).agg(F.sum("_copies").alias("_rows"))
-        .select(*place, (F.sum("_rows").over(in_month) - F.col("_rows")).alias("_before"))
-    )
-    in_bucket = (Window.partitionBy(*place).orderBy("_hash", *columns)
-                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = (
-        copies.withColumn("_upto", F.sum("_copies").over(in_bucket))
-        .join(starts, place)
-        .select(
-            *columns, "year", "month",
-            (F.col("_before") + F.col("_upto") - F.col("_copies") + 1).alias("_first"),
-            (F.col("_before") + F.col("_upto")).alias("_last"),
-        )
-    )
-
-    def page_of(number: Column) -> Column:
-        return F.floor((number - 1) / page_size) + 1
-
-    on_pages = ranked.withColumn(
-        "page", F.explode(F.sequence(page_of(F.col("_first")), page_of(F.col("_last")))))
-    first_here = F.greatest("_first", (F.col("page") - 1) * page_size + 1)
-    last_here = F.least("_last", F.col("page") * page_size)
+    sale_day = day_of(F.col(day))
+    order, month = ["_day", "_hash", "_row"], ["year", "month"]
+    ordered = written(
+        rows.where(sale_day.isNotNull()).select(
+            *columns, F.year(sale_day).alias("year"), F.month(sale_day).alias("month"),
+            sale_day.alias("_day"), F.md5(F.coalesce(F.col(key), F.lit(""))).alias("_hash"),
+            F.xxhash64(*columns).alias("_row"), F.spark_partition_id().alias("_task"))
+        .repartitionByRange(*order, "_task").sortWithinPartitions(*order, *columns)
+        .select(*columns, *month, F.spark_partition_id().alias("_part"),
+                F.monotonically_increasing_id().alias("_place")), "pages")
+
+    counted = ordered.groupBy(*month, "_part").agg(
+        F.count(F.lit(1)).alias("_rows"), F.min("_place").alias("_first"))
+    earlier = Window.partitionBy(*month).orderBy("_part")
+    starts = counted.select(
+        *month, "_part", "_first", (F.sum("_rows").over(earlier) - F.col("_rows")).alias("_before"))
     return (
-        on_pages.repartition("year", "month", "page")
-        .withColumn("row_in_month", F.explode(F.sequence(first_here, last_here)))
-        .select(*columns, "year", "month", "row_in_month", F.col("page").cast("int").alias("page"))
+        # a partition holds neighbouring days: no more starts than partitions and months
+        ordered.join(F.broadcast(starts), [*month, "_part"])
+        .withColumn("row_in_month", F.col("_before") + F.col("_place") - F.col("_first") + 1)
+        .select(*columns, *month, "row_in_month",
+                (F.floor((F.col("row_in_month") - 1) / page_size) + 1).cast("int").alias("page"))
     )
 
 
 def write_pages(paged: DataFrame, path: str, page_size: int = PAGE_SIZE) -> None:
     """Write paged documents as JSON lines, one file per page, replacing whole months.
 
-    The rows of a page are in one partition (see :func:`page_assign`); the sort puts the
-    full pages of a month before its last one, so files break exactly at page ends.
+    The rows of a page are brought together; the sort puts the full pages of a month before its
+    last one, so files break exactly at page ends.
     """
     # zero-padded folder names; ``month=01`` is read back as the number 1
     folders = paged.withColumn("month", F.lpad(F.col("month").cast("string"), 2, "0"))
     (
-        folders.sortWithinPartitions("year", "month", "page", "row_in_month")
+        folders.repartition("year", "month", "page")
+        .sortWithinPartitions("year", "month", "page", "row_in_month")
         .drop("page", "row_in_month")
         .write.mode("overwrite").partitionBy("year", "month")
         .option("partitionOverwriteMode", "dynamic")

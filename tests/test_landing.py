@@ -144,6 +144,32 @@ def test_pages_with_a_hot_row(spark, tmp_path):
     assert list((tmp_path / "landing").glob("year=2024/month=02/*.json"))
 
 
+def test_pages_of_rows_without_key_or_date(spark):
+    # half of the rows have no key; some have no date, or text that is none
+    rows = wide(spark.range(3000).select(
+        F.when(F.col("id") % 2 == 0, F.concat(F.lit("INV-"), "id")).alias("invoice_line_no"),
+        F.when(F.col("id") % 100 == 0, F.lit(None)).when(F.col("id") % 100 == 1, F.lit("soon"))
+        .when(F.col("id") % 3 == 0, F.lit("2024-02-29")).otherwise(F.lit("2024-03-01T08:15:00"))
+        .alias("date"), F.col("id").cast("string").alias("store")))
+    assert landing.undated(rows).count() == 60
+    paged = landing.page_assign(rows, "invoice_line_no", page_size=100).collect()
+    dated = rows.where("date LIKE '2024%'").count()
+    assert len({row.store for row in paged}) == len(paged) == dated == 2940
+    for month in (2, 3):
+        mine = sorted((row.row_in_month, row.page) for row in paged if row.month == month)
+        assert [n for n, _ in mine] == list(range(1, len(mine) + 1))
+        assert all(page == (n - 1) // 100 + 1 for n, page in mine)
+    assert landing.page_assign(rows.limit(0), "invoice_line_no").count() == 0
+
+
+def test_pages_cross_the_network_once(spark, sf_dir, plan):
+    rows = wide(spark.range(100).select(
+        F.col("id").cast("string").alias("invoice_line_no"), F.lit("2024-02-03").alias("date")))
+    text = plan(landing.page_assign(rows, "invoice_line_no"), "simple")
+    # what is left after the written rows only moves the counts
+    assert "rangepartitioning" not in text and "SortMergeJoin" not in text
+
+
 def test_csv_skips_bad_records(spark, tmp_path):
     from shelfscan.plans.calendar import build_calendar
     from shelfscan.sources.csvfiles import read_calendar_csv
