@@ -50,3 +50,15 @@ def loaded_store(spark: SparkSession, sf_dir: str) -> tuple[Store, LoadReport]:
             spark, store, feed=lambda labels: documents, as_of=AS_OF, first_year=FIRST_YEAR)
         return store, report
     return _once(spark, sf_dir, "store", make)
+
+
+def own_store(spark: SparkSession, sf_dir: str) -> Store:
+    """A store of all landing files that no other query sees or changes."""
+    store = Store(fresh_folder(spark, "store"), pages=landing_folder(spark, sf_dir))
+    load_from_landing(spark, store)
+    return store
+
+
+def whole_store(spark: SparkSession, sf_dir: str) -> Store:
+    """A store of all landing files that queries only read."""
+    return _once(spark, sf_dir, "whole", lambda: own_store(spark, sf_dir))

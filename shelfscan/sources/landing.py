@@ -7,18 +7,26 @@ whole month, a whole file list or a hot group in one task or on the driver.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from shelfscan.functions.variant import text_at
 from shelfscan.schemas import FILE_LEDGER, RAW
 from shelfscan.session import empty_frame, path_exists, written
 
 PAGE_SIZE = 50_000
 DOCUMENT_FILES = "*.json*"
-MAX_LISTED_PATHS = 10_000
+#: Column of the scan for lines that are no documents. Next to a document column the scan takes it
+#: by Spark's own name only.
+BAD_LINE = "_corrupt_record"
+PARSED = T.StructType([
+    T.StructField("raw", T.VariantType()), T.StructField(BAD_LINE, T.StringType())])
 
 Month = tuple[int, int]
 
@@ -133,22 +141,37 @@ def scan_lines(
     return lines
 
 
-def as_raw(lines: DataFrame) -> DataFrame:
-    """Parse lines to ``raw, file_name, load_ts``; unreadable lines keep a NULL ``raw``.
+def parsed_once(reader):
+    """A batch or stream reader of JSON lines as ``raw`` and ``BAD_LINE``.
 
-    The parser refuses duplicate keys, as the landing format demands. ``line`` stays so
-    that bad lines can be inspected.
+    Each line is parsed once, by the scan: ``raw`` is the document, or NULL for a line that is none,
+    which is then in the other column. Blank lines are skipped. Duplicate keys are refused, as the landing
+    format demands, and a byte order mark is ignored.
     """
-    text = F.ltrim(F.col("value"), F.lit("\ufeff"))
-    return (
-        lines.where(F.trim("value") != "")
-        .select(
-            F.try_parse_json(text).alias("raw"),
-            F.col("_metadata.file_path").alias("file_name"),
-            F.localtimestamp().alias("load_ts"),
-            F.col("value").alias("line"),
-        )
-    )
+    return (reader.schema(PARSED).option("pathGlobFilter", DOCUMENT_FILES)
+            .option("singleVariantColumn", "raw").option("columnNameOfCorruptRecord", BAD_LINE)
+            .option("mode", "PERMISSIVE").format("json"))
+
+
+def as_raw(parsed: DataFrame) -> DataFrame:
+    """Parsed lines with their file and load time; ``line`` stays, so that bad lines can be seen."""
+    return parsed.select("raw", F.col("_metadata.file_path").alias("file_name"),
+                         F.localtimestamp().alias("load_ts"), F.col(BAD_LINE).alias("line"))
+
+
+def scan_raw(
+    spark: SparkSession,
+    path: str,
+    months: Sequence[Month] | None = None,
+    years: Sequence[int] | None = None,
+    files: Sequence[str] | None = None,
+) -> DataFrame:
+    """``raw, file_name, load_ts, line`` of the chosen landing files, good and bad."""
+    reader = parsed_once(spark.read).option("basePath", path)
+    parsed = reader.load(list(files) if files is not None else path)
+    if months is not None or years is not None:
+        parsed = parsed.where(in_months(months, years))
+    return as_raw(parsed)
 
 
 def good_documents(raw: DataFrame) -> DataFrame:
@@ -162,7 +185,7 @@ def bad_documents(raw: DataFrame) -> DataFrame:
 
 def scan_documents(spark: SparkSession, path: str, **choice) -> DataFrame:
     """Every readable landing document as one variant row."""
-    return good_documents(as_raw(scan_lines(spark, path, **choice)))
+    return good_documents(scan_raw(spark, path, **choice))
 
 
 # ---------------------------------------------------------------- load-once ledger
@@ -192,7 +215,16 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FILE_LEDGER).parquet(path)
 
 
-def load_new_files(
+@dataclass(frozen=True)
+class FilesLoaded:
+    """New files, their lines that are no documents, and their documents without a date."""
+
+    files: int = 0
+    rejected: int = 0
+    undated: int = 0
+
+
+def load_files(
     spark: SparkSession,
     path: str,
     raw_path: str,
@@ -200,29 +232,38 @@ def load_new_files(
     months: Sequence[Month] | None = None,
     years: Sequence[int] | None = None,
     force: bool = False,
-) -> int:
-    """Append the documents of files that were not loaded before; returns the file count.
-
-    Up to ``MAX_LISTED_PATHS`` new files are opened by name. Beyond that the path list is
-    not brought to the driver: the scan is joined with the new paths instead.
+    rejects: str | None = None,
+) -> FilesLoaded:
+    """Append the documents of files that were not loaded before to the raw table.
+
+    Lines that are no documents and documents without a date are counted while the documents are
+    written. With ``rejects``, the lines are also written there, in a second reading that only
+    takes place when there are some. The new files are opened by name; their names take the driver
+    no more than Spark's own list of the files of a scan.
     """
     files = list_files(spark, path).where(in_months(months, years))
     fresh = files if force else not_loaded(files, read_ledger(spark, ledger_path))
-    fresh = fresh.select(*FILE_LEDGER.fieldNames(), "file_name").persist()
+    fresh = fresh.select(*FILE_LEDGER.fieldNames()).persist()
     try:
-        count = fresh.count()
-        if count == 0:
-            return 0
-        if count <= MAX_LISTED_PATHS:
-            names = [row.path for row in fresh.select("path").collect()]
-            lines = scan_lines(spark, path, files=names)
-        else:
-            lines = scan_lines(spark, path, months, years)
-            lines = lines.select("value", "_metadata").join(
-                fresh.select("file_name"),
-                F.col("_metadata.file_path") == F.col("file_name"), "left_semi")
-        good_documents(as_raw(lines)).write.mode("append").parquet(raw_path)
-        fresh.drop("file_name").write.mode("append").parquet(ledger_path)
-        return count
+        names = [row.path for row in fresh.select("path").collect()]
+        if not names:
+            return FilesLoaded()
+        raw = scan_raw(spark, path, files=names)
+        seen = Observation()
+        no_day = day_of(text_at(F.col("raw"), "date")).isNull()
+        counted = raw.observe(
+            seen, F.count_if(F.col("raw").isNull()).alias("rejected"),
+            F.count_if(F.col("raw").isNotNull() & no_day).alias("undated"))
+        good_documents(counted).write.mode("append").parquet(raw_path)
+        found = FilesLoaded(len(names), seen.get["rejected"], seen.get["undated"])
+        if rejects is not None and found.rejected:
+            bad_documents(raw).write.mode("append").parquet(rejects)
+        fresh.write.mode("append").parquet(ledger_path)
+        return found
     finally:
         fresh.unpersist()
+
+
+def load_new_files(*places, **options) -> int:
+    """The file count of :func:`load_files`."""
+    return load_files(*places, **options).files

@@ -108,6 +108,24 @@ def test_failed_batch_is_read_again(spark, tmp_path, monkeypatch):
     assert keys(table) == ["INV-1"]
 
 
+def test_repeated_batch_quarantines_its_rows_once(spark, tmp_path, monkeypatch):
+    """The batch fails after its quarantine was written, and is run again."""
+    raw, table = str(tmp_path / "raw"), MonthTable(spark, str(tmp_path / "sales"))
+    aside = str(tmp_path / "aside")
+    options = dict(checkpoint=str(tmp_path / "check"), quarantine=aside)
+    raw_rows(spark, document(1), {"store": "1"}, {"store": "1"}).write.parquet(raw)
+    with monkeypatch.context() as patch:
+        patch.setattr(MonthTable, "upsert", lambda *a, **k: 1 / 0)
+        with pytest.raises(Exception):
+            feed.stream_upsert(spark, raw, table, **options)
+    assert spark.read.parquet(aside).count() == 2
+    assert feed.stream_upsert(spark, raw, table, **options) == 1
+    assert spark.read.parquet(aside).count() == 2
+    raw_rows(spark, {"store": "2"}).write.mode("append").parquet(raw)
+    assert feed.stream_upsert(spark, raw, table, **options) == 0
+    assert spark.read.parquet(aside).count() == 3
+
+
 def test_rows_without_a_key(spark, tmp_path):
     raw = raw_rows(spark, document(1), {"date": "2024-01-05T00:00:00.000", "store": "1"})
     aside = str(tmp_path / "aside")
@@ -165,6 +183,37 @@ def test_load_latest_and_replay(spark, tmp_path):
     assert store.sales(spark).read().count() == 9
 
 
+def test_replay_that_fails_changes_nothing(spark, tmp_path):
+    store = Store(str(tmp_path))
+    put(tmp_path / "landing", "page_1.jsonl", [document(1), document(2), {"date": "2024-01-06", "store": "1"}])
+    load_from_landing(spark, store)
+    table, aside = store.sales(spark), spark.read.parquet(store.quarantine).count()
+    before, version = keys(table), table.version()
+    counts = [row.rows for row in replay_month(spark, store, (2024, 1)).collect()]
+    assert counts == [2, 0, 2] and keys(table) == before and table.version() == version + 1
+    # a page that does not fit comes in: the reload fails before anything is written
+    put(tmp_path / "landing", "page_2.jsonl", [document(3, pack="x")])
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        replay_month(spark, store, (2024, 1))
+    assert keys(table) == before and table.version() == version + 1
+    assert [row.rows for row in replay_month(spark, store, (2024, 1), strict=False).collect()] == [2, 0, 3]
+    assert spark.read.parquet(store.quarantine).count() == aside == 1
+
+
+def test_loads_report_and_force(spark, tmp_path):
+    store = Store(str(tmp_path))
+    put(tmp_path / "landing", "page_1.jsonl", [document(1), "{broken", document(2, date=None)])
+    report = load_from_landing(spark, store)
+    assert (report.files, report.rows, report.rejected, report.undated) == (1, 2, 1, 1)
+    assert spark.read.parquet(store.rejects).first().line == "{broken"
+    assert load_from_landing(spark, store).files == 0
+    again = load_from_landing(spark, store, force=True)
+    assert (again.files, again.rows, again.rejected) == (1, 2, 1)
+    source = documents(spark, document(5, day="2024-03-01"), document(6, day="whenever"))
+    fetch_to_landing(spark, source, store, months=["2024-03"], as_of=AS_OF)
+    assert spark.read.parquet(store.undated).first().invoice_line_no == "INV-6"
+
+
 def test_plan_months(spark):
     def plan(**request):
         return plan_months(spark, as_of=AS_OF, **request)

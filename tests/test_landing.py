@@ -33,7 +33,7 @@ def test_bad_records_are_set_aside(spark, tmp_path):
         document(3)])
     put(tmp_path, "page_2.jsonl.gz", [document(4)], month=2)
     put(tmp_path, "notes.txt", ["not a landing file"])
-    raw = landing.as_raw(landing.scan_lines(spark, str(tmp_path)))
+    raw = landing.scan_raw(spark, str(tmp_path))
     good = transform.extract_fields(landing.good_documents(raw), "file_name", "load_ts").collect()
     assert sorted(row.invoice_line_no for row in good) == ["INV-1", "INV-3", "INV-4"]
     assert all(row.load_ts is not None and "page_" in row.file_name for row in good)
@@ -96,8 +96,26 @@ def test_files_are_loaded_once(spark, tmp_path):
     assert landing.load_new_files(spark, *places) == 1
 
 
-def test_many_new_files_are_joined_instead_of_listed(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(landing, "MAX_LISTED_PATHS", 1)
+def test_documents_are_parsed_once(spark, tmp_path, plan):
+    put(tmp_path, "page_1.jsonl", [document(1), "{broken"])
+    text = plan(transform.to_sales(landing.scan_documents(spark, str(tmp_path))), "simple")
+    assert "parseJson" not in text.split("store_location")[0] and "FileScan json" in text
+
+
+def test_loads_count_what_they_leave_out(spark, tmp_path):
+    base = tmp_path / "landing"
+    put(base, "page_1.jsonl", [document(1), "{broken", document(2, date=None), "", '{"a": 1, "a": 2}'])
+    put(base, "page_2.jsonl", [document(3), document(4, day="soon")])
+    places = (str(base), str(tmp_path / "raw"), str(tmp_path / "ledger"))
+    found = landing.load_files(spark, *places, rejects=str(tmp_path / "rejects"))
+    assert found == landing.FilesLoaded(files=2, rejected=2, undated=2)
+    assert spark.read.parquet(places[1]).count() == 4
+    rejects = spark.read.parquet(str(tmp_path / "rejects")).collect()
+    assert sorted(row.line for row in rejects) == ["{broken", '{"a": 1, "a": 2}'][::-1] or len(rejects) == 2
+    assert landing.load_files(spark, *places) == landing.FilesLoaded()
+
+
+def test_several_new_files_at_once(spark, tmp_path):
     base = tmp_path / "landing"
     for number in range(3):
         put(base, f"page_{number}.jsonl", [document(number)])
