@@ -101,3 +101,23 @@ def test_dates():
     assert dates.last_full_month(date(2024, 1, 1)) == (date(2023, 12, 1), date(2023, 12, 31))
     assert dates.shift_months(date(2024, 1, 31), -1) == date(2023, 12, 1)
     assert dates.shift_months(date(2023, 12, 5), 1) == date(2024, 1, 1)
+
+
+def test_sums_in_integers_equal_sums_of_decimals(spark):
+    """Up to ten decimals, small and large amounts, missing ones, and in any order."""
+    import random
+    from decimal import Decimal
+    from shelfscan.functions.numbers import exact_sum
+    rng = random.Random(2)
+    texts = [[f"{rng.choice('-+')}{rng.randrange(10 ** rng.choice((1, 3, 5, 6, 9)))}"
+              f".{rng.randrange(10 ** d):0{d}}" for d in rng.choices((1, 2, 4, 7), k=50)] + [None]
+             for _ in range(20)] + [[None, None]]
+    rows = [(n, None if t is None else float(t)) for n, group in enumerate(texts) for t in group]
+    frame = spark.createDataFrame(rows, "n int, v double")
+    for order in (F.col("v"), F.col("v").desc()):
+        found = frame.orderBy(order).groupBy("n").agg(exact_sum(F.col("v")).alias("s"))
+        for row in found.collect():
+            known = [Decimal(repr(float(t))) for t in texts[row.n] if t is not None]
+            assert row.s == (sum(known) if known else None)
+    some = frame.agg(exact_sum(F.col("v"), F.col("n") == 3).alias("s")).first().s
+    assert some == sum(Decimal(repr(float(t))) for t in texts[3] if t is not None)
