@@ -1,6 +1,7 @@
 """Secrets, language, pages and the pipeline on odd rows; held-out accuracy."""
 
 import hashlib
+from collections import Counter
 import json
 import random
 
@@ -144,6 +145,78 @@ def test_articles_that_the_sample_lacks_are_kept():
     assert wrappers.extract(lead, rules) == "The lead News number {0} of the day"
 
 
+def site(rng, page):
+    """A page of a made-up site without article tags or telling names, and the text of its article."""
+    words = [f"w{rng.randrange(5000)}" for _ in range(400)]
+    heads, body = " ".join(words[:6]), [" ".join(words[a:a + 60]) for a in range(10, 330, 80)]
+    links = "".join(f"<li><a href=/{w}>{w}</a></li>" for w in words[340:348])
+    if page % 3:
+        body.insert(1, "See <i>also</i> " + words[350])
+    html = (f"<body><div class=a><ul>{links}</ul></div><div class=b><div><p>Welcome to our site of many words, read on"
+            " and find what you like in it, every day of the week</p>"
+            f"<h1>{heads}</h1>{''.join(f'<p>{b}</p>' for b in body)}"
+            + ("<p>Our team writes every day for you, tell your friends about it and come back</p>"
+               if page % 5 else "")
+            + "</div></div><div class=c><p>All rights are ours alone, since ever and for ever, the whole team"
+              "</p></div></body>")
+    return html, " ".join([heads, *(b.replace("<i>", "").replace("</i>", "") for b in body)])
+
+
+def test_wrapper_decides_what_is_template(spark):
+    """Unmarked pages with known texts: the runs that most pages have go, and the wrapper of the host
+    changes what a page alone would give."""
+    prepare(spark)
+    rng = random.Random(11)
+    made = [site(rng, n) for n in range(40)]
+    rows = [(n, f"https://made.example/{n}", html) for n, (html, _) in enumerate(made)]
+    found = {r.page_id: r.text for r in wrappers.extract_text(spark.createDataFrame(
+        rows, "page_id long, url string, html string").repartition(5)).collect()}
+    assert found == {n: text for n, (_, text) in enumerate(made)}
+    assert all(wrappers.extract(html, None) != text for html, text in made)
+
+
+def test_fixed_runs_against_counts_by_hand(spark):
+    prepare(spark)
+    rng = random.Random(12)
+    rows = [(n, f"http://{'ab'[n % 2]}.example/{n}", "<p>x</p>" + "".join(
+        f"<p>{w}</p>" for w in rng.sample("one two three four five six".split(), 4))) for n in range(30)]
+    rows += [(99, "http://a.example/copy", rows[0][2])] * 40 + [(98, "http://c.example", "<p>x</p>")]
+    found = {r.host: r.fixed for r in wrappers.fixed_runs(spark.createDataFrame(
+        rows, "page_id long, url string, html string")).collect()}
+    by_hand = {}
+    for host in "ab":
+        pages = {html for _, url, html in rows if f"//{host}." in url}
+        counts = Counter(mark for html in pages for mark in wrappers.page_marks(html))
+        by_hand[f"{host}.example"] = sorted(m for m, n in counts.items() if 2 * n > len(pages))
+    assert found == by_hand
+
+
+def test_pages_that_are_copies_of_an_article_keep_it(spark):
+    prepare(spark)
+    rows = [(n, f"http://d.example/{n}", f"<article><p>{'same text ' * 30}</p><p>Number {n}</p></article>")
+            for n in range(9)]
+    found = wrappers.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert all(r.text == f"{'same text ' * 30}Number {r.page_id}" for r in found.collect())
+
+
+def test_deep_and_long_pages(spark):
+    prepare(spark)
+    deep = "<div>" * 100_000 + "<p>deep text</p>" + "</div>" * 100_000 + "<p>next</p>"
+    longer = "<article>" + "<p>paragraph</p>" * 100_000 + "</article>"
+    rows = [(1, "http://a.example", deep), (2, "http://a.example", longer), (3, "http://a.example", "<b>" * 5000)]
+    found = {r.page_id: r.text for r in wrappers.extract_text(spark.createDataFrame(
+        rows, "page_id long, url string, html string")).collect()}
+    assert found[1] == "deep text next" and found[2] == " ".join(["paragraph"] * 100_000)
+    assert found[3] == ""
+
+
+def test_names_inside_an_article():
+    page = ("<article><h1>T</h1><section id='related-work'><p>A</p></section><p class='notice-period'>B</p>"
+            "<div class='share-price'>C</div><div class='share'>x</div><div class='related-posts'>y</div>"
+            "<div class='comment-3'>z</div><div class='ad-banner'>v</div><p>D</p></article>")
+    assert wrappers.extract(page, None) == "T A B C D"
+
+
 def test_wrapper_has_repeated_and_optional_groups():
     pages = ["<ul><li>a<li>b</ul><p>x", "<ul><li>c</ul><h2>t</h2><p>x", "<ul><li>a<li>d<li>e</ul><p>x"]
     assert str(wrappers.infer(pages)) == "<#root><ul>(<li>#PCDATA</>)+</>(<h2>'t'</>)?<p>'x'</></>"
