@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -12,10 +12,6 @@ def month_start(day: Column) -> Column:
     return F.trunc(day, "MM")
 
 
-def quarter_start(day: Column) -> Column:
-    return F.trunc(day, "QUARTER")
-
-
 def week_start(day: Column) -> Column:
     """Monday of the week, as a DATE."""
     return F.trunc(day, "WEEK")
@@ -38,4 +34,8 @@ def last_full_month(as_of: date) -> tuple[date, date]:
 
 
 def today_or(as_of: date | None) -> date:
-    return as_of if as_of is not None else date.today()
+    """``as_of``, or the current day in the time zone of the session."""
+    if as_of is not None:
+        return as_of
+    session = SparkSession.getActiveSession()
+    return session.sql("SELECT current_date()").first()[0] if session else date.today()

@@ -15,6 +15,18 @@ def totals_by(rows: DataFrame, period: Column, name: str, **sums: Column) -> Dat
     return rows.groupBy(period.alias(name)).agg(*[agg.alias(alias) for alias, agg in sums.items()])
 
 
+def dense(totals: DataFrame, period: str, step: str, *values: str) -> DataFrame:
+    """Totals with a row for every period from the first to the last, zero where there was none.
+
+    ``step`` is ``MONTH`` or ``DAY``. Averages over such totals divide by the calendar's periods.
+    """
+    first, last = (totals.agg(f(period)).scalar() for f in (F.min, F.max))
+    every = totals.sparkSession.range(1).select(first.alias("_first"), last.alias("_last")).where(
+        "_first IS NOT NULL").select(F.explode(F.sequence(
+            "_first", "_last", F.expr(f"INTERVAL 1 {step}"))).alias(period))
+    return every.join(totals, period, "left").fillna(0, list(values))
+
+
 def _mean(value: str, frame) -> Column:
     """Mean in a frame as exact sum over count, independent of the order of additions."""
     return F.sum(value).over(frame).cast("double") / F.count(value).over(frame)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfscan.plans import reports
 from shelfscan.plans.calendar import build_calendar
 from shelfscan.plans.loads import Store
+from shelfscan.plans.questions import QUESTIONS
 from shelfscan.plans.semantic import SalesModel
 from shelfscan.plans.stores import store_locations
 from shelfscan.plans.verified import ask, takes_anchor
@@ -66,7 +67,7 @@ class Mart:
     # ------------------------------------------------------------ questions
 
     def model(self, **options) -> SalesModel:
-        return SalesModel(self.sales(), self.calendar(), self.stores(), **options)
+        return SalesModel(self.sales(), self.calendar, self.stores, **options)
 
     def ttm_sales(self) -> DataFrame:
         return reports.ttm_sales(self.sales(), anchor=self.newest_date())
@@ -89,6 +90,13 @@ class Mart:
             options.setdefault("anchor", self.newest_date())
         return ask(self.sales(), question, **options)
 
+    def question(self, name: str, **options) -> DataFrame:
+        """One of the business questions (see ``QUESTIONS``), up to the newest date of the snapshot."""
+        if name not in QUESTIONS:
+            raise ValueError(f"no question {name!r}; there are {', '.join(QUESTIONS)}")
+        options.setdefault("anchor", self.newest_date())
+        return QUESTIONS[name](self.sales(), **options)
+
     def create_views(self, sales: str = "sales", calendar: str = "date_dim",
                      stores: str = "dim_store_location_v") -> None:
         """Register the current snapshot for SQL."""

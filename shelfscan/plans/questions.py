@@ -205,3 +205,10 @@ def latest_month_leaders(sales: DataFrame, top: int = 3, anchor: date | None = N
         F.lit(0).alias("place"), F.lit("TOTAL").alias("family"), F.sum("_sales").alias("_sales"))
     return overall.unionByName(leaders).select(
         "place", "family", whole(F.col("_sales")).alias("sales")).orderBy("place")
+
+
+#: The questions by name.
+QUESTIONS: dict[str, Callable[..., DataFrame]] = {
+    question.__name__: question for question in (
+        month_yoy, top_items_with_mom, weekly_outliers, county_growth, family_shares,
+        quarter_margin, top_margin_items, margin_trend, latest_month_leaders)}

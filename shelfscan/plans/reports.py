@@ -17,7 +17,7 @@ from shelfscan.functions.numbers import exact_sum
 from shelfscan.functions.text import dollars, title_case
 from shelfscan.operators.filters import between_dates, on_dates, trailing_year
 from shelfscan.operators.rolling import (
-    rolling_mean_days, rolling_mean_rows, totals_by, with_trend,
+    dense, rolling_mean_days, rolling_mean_rows, totals_by, with_trend,
 )
 
 def whole(amount: Column) -> Column:
@@ -55,16 +55,20 @@ def ttm_top_items(sales: DataFrame, n: int | None = None, anchor: date | None =
 
 def monthly_sales(
     sales: DataFrame, as_of: date | None = None, months: int = 36, frame: int = 12,
+    fill: bool = False,
 ) -> DataFrame:
     """Monthly sales and their mean over ``frame`` months, from ``months`` months ago to now.
 
-    The scan starts ``frame - 1`` months earlier, so that the first means are full.
+    The scan starts ``frame - 1`` months earlier, so that the first means are full. With ``fill``,
+    months without sales between the first and the last month count as zero.
     """
     end = first_of_month(today_or(as_of))
     start = shift_months(end, -months)
     kept = between_dates(sales, shift_months(start, 1 - frame), shift_months(end, 1))
     totals = totals_by(kept, month_start(F.col("sale_date")), "month",
                        _sales=exact_sum(F.col("sale_dollars")))
+    if fill:
+        totals = dense(totals, "month", "MONTH", "_sales")
     means = rolling_mean_rows(totals, "_sales", "month", frame, "_mean")
     return means.where(F.col("month").between(F.lit(start), F.lit(end))).select(
         F.col("month").alias("sale_date"),
@@ -84,15 +88,19 @@ def daily_trend(
     visible_end: date = date(9999, 12, 31),
     window_days: int = 28,
     mean: Callable[..., DataFrame] = rolling_mean_days,
+    fill: bool = False,
 ) -> DataFrame:
     """Daily moving average over ``window_days`` calendar days with its trend line.
 
     The line is fitted on the unrounded averages of the visible days; ``x`` counts days from
-    the first of them.
+    the first of them. With ``fill``, days without sales count as zero.
     """
     scan_start = date.fromordinal(visible_start.toordinal() - window_days + 1)
     kept = on_dates(sales, scan_start, visible_end)
-    means = mean(daily_totals(kept), "sale_dollars", "sale_date", window_days, "moving_avg")
+    totals = daily_totals(kept)
+    if fill:
+        totals = dense(totals, "sale_date", "DAY", "sale_dollars")
+    means = mean(totals, "sale_dollars", "sale_date", window_days, "moving_avg")
     visible = means.where(
         F.col("moving_avg").isNotNull()
         & F.col("sale_date").between(F.lit(visible_start), F.lit(visible_end)))

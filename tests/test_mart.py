@@ -75,3 +75,12 @@ def test_questions_with_dates_prune_months(mart, plan, where, kept):
         filters = [line for line in folders_read(plan(query)) if "/data/v=" in line or "sale_" in line]
         if where[0][2] not in (1066, True):
             assert any("sale_year" in line and "sale_month" in line for line in filters)
+
+
+def test_questions_on_the_stored_table(mart, plan):
+    for name, question in questions.QUESTIONS.items():
+        found = mart.question(name)
+        assert "sale_year" in plan(found).split("PartitionFilters")[1][:200]
+        assert sorted(map(str, found.collect())) == sorted(map(str, question(mart.sales()).collect()))
+    with pytest.raises(ValueError, match="month_yoy"):
+        mart.question("no such")

@@ -92,6 +92,21 @@ def test_monthly_sales_window(spark):
     assert labelled.columns == ["Sale Month", "Monthly Sales", "TTM Avg Sales"]
 
 
+def test_averages_over_months_and_days_without_sales(spark):
+    from shelfscan.operators import rolling
+    rows = spark.createDataFrame(
+        [(date(2023, 1, 5), 120.0), (date(2023, 4, 7), 60.0), (date(2023, 4, 9), 30.0)],
+        "sale_date date, sale_dollars double")
+    sparse, filled = ([(r.sale_date.month, r.monthly_sales, r.ttm_avg_sales) for r in reports.monthly_sales(
+        rows, as_of=date(2023, 5, 1), fill=fill).collect()] for fill in (False, True))
+    assert sparse == [(1, 120, 120), (4, 90, 105)]
+    assert filled == [(1, 120, 120), (2, 0, 60), (3, 0, 40), (4, 90, 53)]
+    days = reports.daily_trend(rows, visible_start=date(2023, 4, 1), window_days=3, fill=True).collect()
+    assert [(r.sale_date.day, r.moving_avg) for r in days] == [(7, 60), (8, 30), (9, 30)]
+    empty = rows.limit(0).withColumnRenamed("sale_dollars", "v")
+    assert rolling.dense(empty, "sale_date", "DAY", "v").count() == 0
+
+
 def test_joins_of_any_size_agree(spark):
     # one store holds a third of the lines; a store is missing from the dimension
     fact = spark.range(0, 6000, 1, 6).select(
