@@ -41,9 +41,13 @@ def held_out(doc_id):
 def plain(text: str | None) -> bytes:
     """The distinct words of a text, letters in lower case, in order and parted by a blank.
 
-    Repeats are left out: any dictionary codes them equally well.
+    Repeats are left out: any dictionary codes them equally well. So are signs for numbers that
+    stand alone, such as fractions and circled digits, which are no letters.
     """
-    return " ".join(dict.fromkeys(LETTERS.findall(text.lower()))).encode() if text else b""
+    if not text:
+        return b""
+    words = dict.fromkeys(LETTERS.findall(text.lower()))
+    return " ".join([w for w in words if w.isalpha() or any(map(str.isalpha, w))]).encode()
 
 
 def train(docs: DataFrame) -> dict[str, bytes]:

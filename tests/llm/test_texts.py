@@ -145,6 +145,14 @@ def test_articles_that_the_sample_lacks_are_kept():
     assert wrappers.extract(lead, rules) == "The lead News number {0} of the day"
 
 
+def test_numeric_characters_are_no_letters():
+    classify = language.Classifier({"de": b"der die das und ist nicht ein", "en": b"the and of to in is"}).predict
+    for text in ("½ ² ³", "①② 12 ٣", "Ⅷ ⅓", "!?", " \n", "", None):
+        assert language.plain(text) == b"" and classify(text) == (language.UNKNOWN, 0.0)
+    assert classify("x² und ½ das ist nicht")[0] == "de"
+    assert language.plain("Ab x² ½ ab") == "ab x²".encode()
+
+
 def site(rng, page):
     """A page of a made-up site without article tags or telling names, and the text of its article."""
     words = [f"w{rng.randrange(5000)}" for _ in range(400)]
