@@ -50,7 +50,7 @@ def shared_folder(spark: SparkSession) -> str:
     set_before = spark.sparkContext.getCheckpointDir()
     if set_before:
         return os.path.dirname(set_before)
-    if not spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master.partition("[")[0] != "local":
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="shelfscan-")
     spark.conf.set("spark.checkpoint.dir", folder)
