@@ -47,6 +47,34 @@ def test_ids_equal_those_of_the_library():
         assert np.frombuffer(ids, "<u4").tolist() == ids_of(text), repr(text)
 
 
+def test_line_ends_and_signs_between_words():
+    rng = random.Random(9)
+    parts = ["a", "ç", "Ɏ", "ɐ", " b", "\n", "\n\n", "c,", " ", "é.", " 9", "'s", " d'", " e%%%", "²", "ªº", "×"]
+    made = ["".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(5000)]
+    for text, ids in zip(made, tokens.encode_ids(BYTE_BPE, made)):
+        assert np.frombuffer(ids, "<u4").tolist() == ids_of(text), repr(text)
+
+
+def test_words_are_learned_once_and_many_at_a_time(monkeypatch):
+    """At line starts and before signs, too."""
+    memo = tokens.Memo(tokens.id_memo(BYTE_BPE).work)
+    alone, bulk = [], []
+    work, library = memo.work, tokens.word_tokenizer(BYTE_BPE)
+    memo.work = lambda unit: alone.append(unit) or work(unit)
+    monkeypatch.setattr(tokens, "id_memo", lambda path: memo)
+
+    class Library:
+        def encode_batch_fast(self, given, **options):
+            bulk.extend(given)
+            return library.encode_batch_fast(given, **options)
+
+    monkeypatch.setattr(tokens, "word_tokenizer", lambda path: Library())
+    text = "\n".join(f"Wort{a}{b}, wort{a}{b}. wort{a}{b}!" for a in "abcdefgh" for b in "abcdefgh")
+    assert np.frombuffer(tokens.encode_ids(BYTE_BPE, [text])[0], "<u4").tolist() == ids_of(text)
+    assert sorted(alone) == ["\n", "!", ",", "."]
+    assert len(bulk) == 1 and len(bulk[0].split()) == 128
+
+
 def test_counts_equal_those_of_the_library():
     made = texts()
     library = tokens.tokenizer(WORD_BPE)
