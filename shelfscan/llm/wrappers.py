@@ -1,33 +1,45 @@
 """Main text of pages by wrappers that are inferred per host.
 
 A wrapper is a regular expression without unions over a host's pages: elements, optional and
-repeated groups, fixed texts and text slots. It is formed from a bounded sample of pages, taken in
-hash order: the next page is aligned with the wrapper so far, level by level. Elements that only
-one side has become optional, neighbours that look alike become one repeated group, and texts that
-differ become a slot. The article is where the slots hold most text, unless it is marked as such.
+repeated groups, fixed texts and text slots. It is formed from all different pages: each is a wrapper of
+itself; pages of one structure are counted together, and the others are aligned with the wrapper so
+far, level by level, first in each task, then per host. Elements that only one side has become
+optional, neighbours that look alike become one repeated group, and a text becomes a slot unless one
+has the majority. The article is where the slots hold most text, unless it is marked as such.
 
-Which texts are fixed is decided by all pages of the host: every run of text between two block
+Which texts are template is decided by all pages of the host, too: every run of text between two block
 borders is counted with its place, once per different page, and a run that most of them have is
 part of the template, not of the article.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from difflib import SequenceMatcher
 from functools import lru_cache
+from itertools import groupby
 import json
 import re
 
 import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfscan.llm.common import arrow_pass, stored
+from shelfscan.llm.common import arrow_pass, arrow_schema, stored
 from shelfscan.llm.markup import INLINE, VOID, Element, parse
 
-#: The bounded sample: different pages per host.
-SAMPLE_PAGES = 8
+#: Structures of a host that a task keeps apart before it aligns them.
+KINDS = 500
+#: The former name, when so many pages of a host were all that was read.
+SAMPLE_PAGES = KINDS
+#: Levels of two pages with more pairs of neighbours are aligned by the signs that both have once.
+WIDE = 250_000
+#: Longer texts of a wrapper are kept by their beginning and a hash.
+TEXT_CHARS = 60
 #: Different pages that a host needs before a text of theirs can count as part of the template, which
 #: more than this share of them have to have at the same place.
 FIXED_PAGES = 4
@@ -39,6 +51,8 @@ BROADCAST_BYTES = 32 << 20
 
 FOUND = "page_id long, url string, text string, n_chars long"
 RULES = "host string, wrapper string, rules string"
+FACTS = "host string, h long, marks array<long>, shape string, texts string"
+GATHERED = "host string, shape string, texts string, pages long"
 START = 0
 
 SKIPPED = frozenset(
@@ -67,18 +81,27 @@ HEADINGS = frozenset("h1 h2 h3".split())
 
 
 class Part:
-    """An element or a text of a wrapper. ``text`` is None for an element and for a slot."""
+    """An element or a text of a wrapper of so many ``pages``.
 
-    __slots__ = ("sign", "children", "text", "optional", "repeated", "pages", "chars")
+    ``text`` is the one that most of the ``seen`` texts may be; its votes are those for it that are
+    left when each other text has taken one away. With votes of more than half it is fixed.
+    """
+
+    __slots__ = ("sign", "children", "text", "votes", "seen", "optional", "repeated", "pages", "chars")
 
     def __init__(self, sign: str, children=(), text: str | None = None, chars: int = 0):
         self.sign, self.children, self.text = sign, list(children), text
         self.optional = self.repeated = False
-        self.pages, self.chars = 1, chars
+        self.votes = self.seen = self.pages = 1
+        self.chars = chars
+
+    @property
+    def slot(self) -> bool:
+        return 2 * self.votes <= self.seen
 
     def __str__(self) -> str:
         if self.sign == "#text":
-            body = "#PCDATA" if self.text is None else repr(self.text)
+            body = "#PCDATA" if self.slot else repr(self.text)
         else:
             body = f"<{self.sign}>{''.join(map(str, self.children))}</>"
         mark = ("+" if self.repeated else "") + ("?" if self.optional else "")
@@ -99,49 +122,87 @@ def part_of(element: Element, levels: int = LEVELS) -> Part:
             continue
         text = " ".join((child if isinstance(child, str) else " ".join(child.texts())).split())
         if text:
-            children.append(Part("#text", text=text, chars=len(text)))
+            children.append(Part("#text", text=shortened(text), chars=len(text)))
     return Part(element.sign, folded(children))
 
 
+def shortened(text: str) -> str:
+    if len(text) <= TEXT_CHARS:
+        return text
+    return f"{text[:TEXT_CHARS // 2]}… {xxhash.xxh3_64_hexdigest(text.encode())}"
+
+
 def folded(parts: list[Part]) -> list[Part]:
     """Repetitions of one to three neighbours as one repeated group each."""
     for size in (1, 2, 3):
-        at = 0
-        while at + 2 * size <= len(parts):
-            one, two = parts[at:at + size], parts[at + size:at + 2 * size]
+        done, rest = [], parts[::-1]
+        while len(rest) >= 2 * size:
+            one, two = rest[:-size - 1:-1], rest[-size - 1:-2 * size - 1:-1]
             if [p.sign for p in one] == [p.sign for p in two] and one[0].sign != "#text":
                 joined = [united(a, b, same_page=True) for a, b in zip(one, two)]
                 for part in joined:
                     part.repeated = True
-                parts = parts[:at] + joined + parts[at + 2 * size:]
+                rest[-2 * size:] = joined[::-1]
             else:
-                at += 1
+                done.append(rest.pop())
+        parts = done + rest[::-1]
     return parts
 
 
 def united(a: Part, b: Part, same_page: bool = False) -> Part:
     """The wrapper of two parts with one sign."""
-    found = Part(a.sign, text=a.text if a.text == b.text else None, chars=a.chars + b.chars)
+    found = Part(a.sign, chars=a.chars + b.chars)
+    found.text, found.votes = voted(a.text, a.votes, b.text, b.votes)
+    found.seen = a.seen + b.seen
     found.optional, found.repeated = a.optional or b.optional, a.repeated or b.repeated
     found.pages = max(a.pages, b.pages) if same_page else a.pages + b.pages
     found.children = aligned(a.children, b.children, same_page)
     return found
 
 
+def voted(one: str | None, votes: int, two: str | None, others: int) -> tuple[str | None, int]:
+    if one == two:
+        return one, votes + others
+    return (one, votes - others) if votes >= others else (two, others - votes)
+
+
 def aligned(one: list[Part], two: list[Part], same_page: bool) -> list[Part]:
-    found: list[Part] = []
     a, b = [p.sign for p in one], [p.sign for p in two]
+    if a == b:
+        return [united(x, y, same_page) for x, y in zip(one, two)]
+    found: list[Part] = []
     i = j = 0
-    for match in SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks():
-        for part in (*one[i:match.a], *two[j:match.b]):
+    for at, to, size in (*matching(a, b), (len(a), len(b), 0)):
+        for part in (*one[i:at], *two[j:to]):
             part.optional = True
             found.append(part)
-        found.extend(united(x, y, same_page) for x, y in zip(
-            one[match.a:match.a + match.size], two[match.b:match.b + match.size]))
-        i, j = match.a + match.size, match.b + match.size
+        found.extend(united(x, y, same_page) for x, y in zip(one[at:at + size], two[to:to + size]))
+        i, j = at + size, to + size
     return folded(found)
 
 
+def matching(a: list[str], b: list[str]) -> list[tuple[int, int, int]]:
+    """(place in a, place in b, length) of what is alike, in order."""
+    if len(a) * len(b) <= WIDE:
+        return [tuple(m) for m in SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks()]
+    times_a, times_b = Counter(a), Counter(b)
+    place = {sign: n for n, sign in enumerate(b) if times_b[sign] == 1}
+    pairs = [(n, place[sign]) for n, sign in enumerate(a) if times_a[sign] == 1 and sign in place]
+    # the longest rising sequence of places in b
+    ends: list[int] = []
+    last: list[int] = []
+    before = []
+    for n, (_, to) in enumerate(pairs):
+        at = bisect_left(ends, to)
+        ends[at:at + 1], last[at:at + 1] = [to], [n]
+        before.append(last[at - 1] if at else -1)
+    found, n = [], last[-1] if last else -1
+    while n >= 0:
+        found.append((*pairs[n], 1))
+        n = before[n]
+    return found[::-1]
+
+
 def infer(pages: list[str | None]) -> Part:
     """The wrapper of the different pages of a host."""
     parts = [part_of(parse(text or "")) for text in dict.fromkeys(pages)]
@@ -151,6 +212,65 @@ def infer(pages: list[str | None]) -> Part:
     return wrapper
 
 
+def written(wrapper: Part) -> tuple[str, str]:
+    """The shape of a wrapper, which pages of one structure share, and its texts in order."""
+    texts = []
+
+    def shape(part: Part):
+        marks = part.optional + 2 * part.repeated
+        if part.sign == "#text":
+            texts.append((part.text, part.votes, part.seen, part.chars))
+            return marks
+        return [part.sign, marks, *map(shape, part.children)]
+
+    shaped = shape(wrapper)
+    return tuple(json.dumps(x, ensure_ascii=False, separators=(",", ":")) for x in (shaped, texts))
+
+
+def rebuilt(shape: str, texts: list[list], pages: int) -> Part:
+    """The wrapper that was written; ``pages`` is set for all its parts."""
+    rest = iter(texts)
+
+    def part(given) -> Part:
+        if isinstance(given, int):
+            marks, found = given, Part("#text")
+            found.text, found.votes, found.seen, found.chars = next(rest)
+        else:
+            marks, found = given[1], Part(given[0], map(part, given[2:]))
+        found.optional, found.repeated, found.pages = bool(marks & 1), bool(marks & 2), pages
+        return found
+
+    return part(json.loads(shape))
+
+
+def gathered(rows: Iterable[tuple[str, str, int]]) -> Part:
+    """The wrapper of written wrappers with their numbers of pages. Those of one shape are counted
+    together; the others are aligned, the most frequent first."""
+    kinds: dict[str, list] = {}
+    wrapper = None
+
+    def joined() -> Part:
+        found = wrapper
+        for shape in sorted(kinds, key=lambda shape: (-kinds[shape][1], shape)):
+            part = rebuilt(shape, *kinds[shape])
+            found = united(found, part) if found else part
+        return found
+
+    for shape, texts, pages in rows:
+        texts = json.loads(texts)
+        known = kinds.get(shape)
+        if known is None:
+            if len(kinds) >= KINDS:
+                wrapper = joined()
+                kinds.clear()
+            kinds[shape] = [texts, pages]
+            continue
+        known[1] += pages
+        for one, two in zip(known[0], texts):
+            one[:] = *voted(one[0], one[1], two[0], two[1]), one[2] + two[2], one[3] + two[3]
+    return joined()
+
+
 def words_of(sign: str) -> set[str]:
     return set(re.findall("[a-z]+", sign.partition(".")[2]))
 
@@ -184,7 +304,7 @@ def weight(part: Part, several: bool = False) -> int:
     In the wrapper of ``several`` pages only slots count.
     """
     if part.sign == "#text":
-        return part.chars if part.text is None or not several else 0
+        return part.chars if part.slot or not several else 0
     if skipped(part.sign, False) or part.sign.partition(".")[0] == "a":
         return 0
     return sum(weight(child, several) for child in part.children)
@@ -285,7 +405,11 @@ def run_mark(place: int, text: str) -> int:
 
 def page_marks(text: str | None) -> list[int]:
     """The different runs of a page, whatever part they are in."""
-    runs = runs_of(parse(text or ""), (True, True), lambda element, place, state: state)
+    return _marks_of(parse(text or ""))
+
+
+def _marks_of(root: Element) -> list[int]:
+    runs = runs_of(root, (True, True), lambda element, place, state: state)
     return sorted({run_mark(place, run) for place, run in runs})
 
 
@@ -341,44 +465,63 @@ def host_of(url):
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[^/?#]*://([^/?#]*)", 1))
 
 
-def infer_wrappers(pages: DataFrame) -> DataFrame:
-    """``host, wrapper, rules`` per host, from a bounded sample of its pages.
+def page_facts(pages: DataFrame) -> DataFrame:
+    """``host, h, marks, shape, texts`` of each page, written once: the marks of its runs and its own
+    wrapper. Pages with equal ``host`` and ``h`` are copies.
 
     A page without an absolute address belongs to the host "".
     """
-    first = Window.partitionBy("host").orderBy("h")
-    known = (pages.where(F.col("html").isNotNull())
-             .select(host_of(F.col("url")).alias("host"), F.xxhash64("html").alias("h"), "html"))
-    # copies of a page count once; written, the choice has a size that Spark knows ahead of the join
-    chosen = stored(known.select("host", "h").distinct()
-                    .withColumn("n", F.row_number().over(first)).where(F.col("n") <= SAMPLE_PAGES),
-                    "chosen")
-    sample = known.join(chosen, ["host", "h"]).groupBy("host", "h", "n").agg(F.min("html").alias("html"))
+
+    def make():
+        def step(columns):
+            roots = (parse(text) for text in columns[2])
+            found = [(_marks_of(root), *written(part_of(root))) for root in roots]
+            return [columns[0], columns[1], *(zip(*found) if found else [[]] * 3)]
+
+        return step
+
+    known = pages.where(F.col("html").isNotNull()).select(
+        host_of(F.col("url")).alias("host"), F.xxhash64("html").alias("h"), "html")
+    return stored(arrow_pass(known, FACTS, make), "facts")
+
+
+def infer_wrappers(pages: DataFrame, facts: DataFrame | None = None) -> DataFrame:
+    """``host, wrapper, rules`` per host, from all its different pages.
+
+    Pages meet by host and hash, so those of a large host are gathered in many tasks; a task
+    sends one wrapper per host. The order of pages, and so an alignment with several good ways, may
+    depend on the number of tasks.
+    """
+    facts = page_facts(pages) if facts is None else facts
+    schema = arrow_schema(pages.sparkSession, GATHERED)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+        for host, group in groupby(rows, key=lambda row: row[0]):
+            wrapper = gathered((shape, texts, 1) for _, _, shape, texts in group)
+            shape, texts = written(wrapper)
+            yield pa.RecordBatch.from_pydict({"host": [host], "shape": [shape], "texts": [texts],
+                                              "pages": [wrapper.pages]}, schema=schema)
 
     def form(rows: pd.DataFrame) -> pd.DataFrame:
-        wrapper = infer(rows.sort_values("n")["html"].tolist())
+        rows = rows.sort_values(["pages", "shape", "texts"], ascending=[False, True, True])
+        wrapper = gathered(zip(rows["shape"], rows["texts"], rows["pages"].tolist()))
         return pd.DataFrame({"host": [rows["host"].iloc[0]], "wrapper": [str(wrapper)],
                              "rules": [json.dumps(rules_of(wrapper), ensure_ascii=False)]})
 
-    return sample.groupBy("host").applyInPandas(form, RULES)
+    # copies of a page count once
+    different = facts.select("host", "h", "shape", "texts").dropDuplicates(["host", "h"])
+    return different.sortWithinPartitions("host", "h").mapInArrow(run, GATHERED).groupBy(
+        "host").applyInPandas(form, RULES)
 
 
-def fixed_runs(pages: DataFrame) -> DataFrame:
+def fixed_runs(pages: DataFrame, facts: DataFrame | None = None) -> DataFrame:
     """``host, fixed``: marks of the runs that most different pages of a host have.
 
     All pages are counted, by their marks: what meets under a host is one number per run and page,
     and sums of these. At most twice as many runs are found as a page has on average.
     """
-
-    def make():
-        def step(columns):
-            return [columns[0], columns[1], [page_marks(text) for text in columns[2]]]
-
-        return step
-
-    known = pages.where(F.col("html").isNotNull()).select(
-        host_of(F.col("url")).alias("host"), F.xxhash64("html").alias("h"), "html")
-    marks = stored(arrow_pass(known, "host string, h long, marks array<long>", make), "marks")
+    marks = page_facts(pages) if facts is None else facts
     hosts = marks.select("host", "h").distinct().groupBy("host").agg(
         F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= FIXED_PAGES)
     # copies of a page count once
@@ -394,7 +537,8 @@ def extract_text(pages: DataFrame) -> DataFrame:
     Null html counts as empty and gives an empty text; null addresses share a host; repeated rows
     give repeated rows; extra columns are ignored; an empty table gives an empty table.
     """
-    rules = infer_wrappers(pages).join(fixed_runs(pages), "host", "left").select(
+    facts = page_facts(pages)
+    rules = infer_wrappers(pages, facts).join(fixed_runs(pages, facts), "host", "left").select(
         "host", F.concat(F.expr("substring(rules, 1, length(rules) - 1)"), F.lit(', "fixed": '),
                          F.coalesce(F.to_json("fixed"), F.lit("[]")), F.lit("}")).alias("rules"))
     wrappers = stored(rules, "wrappers")

@@ -145,6 +145,36 @@ def test_articles_that_the_sample_lacks_are_kept():
     assert wrappers.extract(lead, rules) == "The lead News number {0} of the day"
 
 
+def test_wrapper_is_of_all_pages_of_a_host(spark):
+    """Whatever pages come first: a part that one page has, and a text that one page has otherwise."""
+    prepare(spark)
+    rows = [(n, f"https://a.example/{n}", f"<ul><li>a</ul><p>Fixed</p><p>Number {n}</p>") for n in range(300)]
+    rows += [(300, "https://a.example/300", "<ul><li>a</ul><h2>Rare</h2><p>Other</p><p>Number 300</p>")]
+    wrapper = wrappers.infer_wrappers(spark.createDataFrame(
+        rows, "page_id long, url string, html string").repartition(7)).first().wrapper
+    assert wrapper == "<#root><ul><li>'a'</></>(<h2>'Rare'</>)?(<p>#PCDATA</>)+</>"
+
+
+def test_gathered_wrapper_equals_the_alignment_of_its_pages():
+    rng = random.Random(4)
+    pages = [f"<body><ul>{'<li>x</li>' * rng.randint(0, 3)}</ul>" + "<h2>H</h2>" * rng.randint(0, 1)
+             + f"<p>{rng.choice('aaab')}</p><div>{n}</div></body>" for n in range(40)]
+    parts = [wrappers.written(wrappers.part_of(wrappers.parse(page))) for page in pages]
+    for shape, texts in parts:
+        assert wrappers.written(wrappers.rebuilt(shape, json.loads(texts), 1)) == (shape, texts)
+    found = wrappers.gathered((*part, 1) for part in parts)
+    assert found.pages == 40
+    assert str(found) == "<#root><body><ul>(<li>'x'</>)+?</>(<h2>'H'</>)?<p>'a'</><div>#PCDATA</></></>"
+
+
+def test_wide_levels_are_aligned_by_their_single_signs(monkeypatch):
+    one, two = list("abcxdefz"), list("aybcdxgfz")
+    assert wrappers.matching(one, two) == [(0, 0, 1), (1, 2, 2), (3, 5, 1), (6, 7, 2), (8, 9, 0)]
+    monkeypatch.setattr(wrappers, "WIDE", 1)
+    assert [(a, b) for a, b, _ in wrappers.matching(one, two)] == [(0, 0), (1, 2), (2, 3), (4, 4), (6, 7), (7, 8)]
+    assert wrappers.matching(list("aab"), list("cda")) == []
+
+
 def test_numeric_characters_are_no_letters():
     classify = language.Classifier({"de": b"der die das und ist nicht ein", "en": b"the and of to in is"}).predict
     for text in ("½ ² ³", "①② 12 ٣", "Ⅷ ⅓", "!?", " \n", "", None):
