@@ -1,12 +1,14 @@
 import gzip
 import json
 from pathlib import Path
+import time
 
 from pyspark.sql import functions as F
 import pytest
 
 from shelfscan.operators import transform
 from shelfscan.schemas import LANDING_KEYS
+from shelfscan.session import shared_folder
 from shelfscan.sources import landing
 
 
@@ -201,3 +203,56 @@ def test_csv_skips_bad_records(spark, tmp_path):
     read = read_calendar_csv(spark, str(path))
     assert read.count() == 3 and read.select("dayofweek").count() == 3
     assert read.exceptAll(built).count() == 0
+
+
+def many_documents(spark, rows=3000):
+    return wide(spark.range(rows).select(
+        F.concat(F.lit("INV-"), F.col("id").cast("string")).alias("invoice_line_no"),
+        F.concat(F.lit("2024-0"), (F.col("id") % 4 + 1).cast("string"), F.lit("-0"),
+                 (F.col("id") % 9 + 1).cast("string")).alias("date"),
+        F.col("id").cast("string").alias("store")))
+
+
+def test_pages_in_slices_are_the_same(spark, tmp_path, monkeypatch):
+    rows = many_documents(spark)
+    whole = landing.page_assign(rows, "invoice_line_no", page_size=70).collect()
+    monkeypatch.setattr("shelfscan.session.SLICE_ROWS", 400)
+    scratch = str(tmp_path / "ordered")
+    paged = landing.page_assign(rows, "invoice_line_no", page_size=70, scratch=scratch)
+    assert spark.read.parquet(scratch).selectExpr("_part div (1 << 20)").distinct().count() == 7
+    assert sorted(map(str, paged.collect())) == sorted(map(str, whole))
+    landing.write_pages(paged, str(tmp_path / "pages"), page_size=70)
+    sizes = landing.scan_lines(spark, str(tmp_path / "pages")).groupBy(
+        "month", F.col("_metadata.file_path")).count().collect()
+    assert sorted(row["count"] for row in sizes) == [50] * 4 + [70] * 40
+
+
+def test_landing_leaves_compressed_pages_only(spark, tmp_path, monkeypatch):
+    # the rows' own copies and shuffle files are gone when the pages are there
+    monkeypatch.setattr("shelfscan.session.SLICE_ROWS", 400)
+    scratch = set(Path(shared_folder(spark).removeprefix("file:")).iterdir())
+    rows = many_documents(spark)
+    landing.land(rows, "invoice_line_no", str(tmp_path / "pages"), page_size=100)
+    files = [file.name for file in (tmp_path / "pages").rglob("part-*")]
+    assert len(files) == 32 and all(name.endswith(".json.gz") for name in files)
+    assert set(Path(shared_folder(spark).removeprefix("file:")).iterdir()) == scratch
+    documents = landing.scan_documents(spark, str(tmp_path / "pages"))
+    assert documents.select(F.variant_get("raw", "$.store", "string")).distinct().count() == 3000
+
+
+def test_shuffle_files_go_with_their_job(spark, tmp_path):
+    from shelfscan.session import written_in_slices
+    kept = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager()
+    def shuffles():
+        found = kept.diskBlockManager().getAllFiles()
+        return {found.apply(i).getName() for i in range(found.size())
+                if found.apply(i).getName().startswith("shuffle_")}
+    before = shuffles()
+    rows = spark.range(1000).repartition(3, "id")
+    written_in_slices([rows, rows], str(tmp_path / "out"))
+    for _ in range(50):
+        if not shuffles() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffles() - before
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 2000
