@@ -240,3 +240,15 @@ def test_month_gap(spark):
     assert len(gap([])) == 15 and gap([])[0] == "2023-01"
     assert gap([date(2023, 1, 5), date(2024, 2, 1)], fill_holes=True) == [
         *[f"2023-{month:02d}" for month in range(2, 13)], "2024-01", "2024-03"]
+
+
+def test_batch_in_slices(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("shelfscan.session.SLICE_ROWS", 10)
+    docs = [document(i % 25, day=f"2024-0{i % 3 + 1}-05", sale_dollars=str(i)) for i in range(75)]
+    first = raw_rows(spark, *docs)
+    assert len(feed.newest_in_slices(first, 75)) == 7
+    table = MonthTable(spark, str(tmp_path / "sales"))
+    assert feed.apply_batch(first, table) == 25
+    whole = feed.newest_per_key(first).select(KEY, "sale_date", "sale_dollars")
+    found = table.read().select(KEY, "sale_date", "sale_dollars")
+    assert found.count() == 25 and found.exceptAll(whole).count() == 0
