@@ -1,4 +1,5 @@
 from datetime import date
+from pathlib import Path
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -7,6 +8,7 @@ import pytest
 from shelfscan.operators import keyed, upsert
 from shelfscan.operators.months import MonthTable, month_predicate
 from shelfscan.schemas import KEY, SALES
+from shelfscan.session import shared_folder
 
 
 def lines(spark, *rows):
@@ -155,3 +157,44 @@ def test_variant_column_survives(spark, table):
     table.upsert(row)
     found = table.read().where(f"{KEY} = 'v'").select(F.to_json("store_location")).first()
     assert found[0] == '{"a":[1]}' and isinstance(table.read().schema["store_location"].dataType, T.VariantType)
+
+
+def test_upsert_in_slices_and_parts(spark, tmp_path, monkeypatch):
+    days = [date(2024, month, 3) for month in (1, 2, 3, 4)]
+    old = lines(spark, *[(f"k{i}", days[i % 4], 1.0) for i in range(40)], ("x", None, 7.0))
+    new = lines(spark, *[(f"k{i}", days[(i + 1) % 4], 2.0) for i in range(20, 60)], (None, None, 5.0))
+    held = MonthTable(spark, str(tmp_path / "held"))
+    monkeypatch.setattr("shelfscan.session.SLICE_ROWS", 8)
+    monkeypatch.setattr("shelfscan.session.MOST_SLICES", 3)
+    assert held.upsert([old.where(f"{KEY} < 'k3'"), old.where(f"{KEY} >= 'k3'")]) == 41
+    assert held.upsert(new) == 41
+    found = held.read().select(KEY, "sale_date", "sale_dollars").collect()
+    assert sorted(map(tuple, found), key=str) == sorted(
+        [(f"k{i}", days[i % 4], 1.0) for i in range(20)]
+        + [(f"k{i}", days[(i + 1) % 4], 2.0) for i in range(20, 60)]
+        + [("x", None, 7.0), (None, None, 5.0)], key=str)
+    assert {row.rows for row in held.month_list() if row.sale_year is None} == {2}
+
+
+def test_unique_rows_in_slices(spark, monkeypatch):
+    monkeypatch.setattr("shelfscan.session.SLICE_ROWS", 20)
+    rows = lines(spark, *[(f"k{i % 30}", JAN, float(i)) for i in range(90)],
+                 *[(None, JAN, float(i)) for i in range(5)])
+    scratch = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(scratch.iterdir())
+    unique = keyed.unique_by_key(rows)
+    assert unique.select(KEY, "sale_dollars").exceptAll(
+        keyed.dedup_by_key(rows).select(KEY, "sale_dollars")).count() == 0
+    assert unique.count() == 31
+    # what it was made from is gone
+    assert [place.name[:6] for place in set(scratch.iterdir()) - before] == ["unique"]
+
+
+def test_csv_sample_is_compressed(spark, sf_dir):
+    from shelfscan.catalog.queries import QUERIES
+    scratch = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(scratch.iterdir())
+    assert QUERIES["scan_csv_multiline"](spark, sf_dir).count() > 0
+    made = set(scratch.iterdir()) - before
+    files = [file.name for place in made for file in place.glob("part-*")]
+    assert files and all(name.endswith(".csv.gz") for name in files)
